@@ -1,42 +1,46 @@
 """Graph measures per node: degree, exposure, clustering, PageRank, BFS, betweenness.
 
 ``edges`` needs ``source_id`` and ``target_id`` (and ``weight`` for exposure); ``nodes``
-needs ``node_id``. Loops write each round to the shared scratch area, so plans stay short
-and a lost executor costs one round.
+needs ``node_id``. Iterative measures work on an indexed graph with whole-number ids, built
+once and shared. Loops write each round to the shared scratch area, so plans stay short and
+a lost executor costs one round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.columns import fill_zero_all
 from riskweave.functions.hashing import order_key
-from riskweave.operators.skew import ROWS_PER_SPLIT, all_parts, part_of
+from riskweave.operators.skew import ROWS_PER_SPLIT, all_parts, part_of, sized_join
 from riskweave.session import materialize
 
 # PageRank rounds evaluated in one job before the ranks are written out.
 ROUNDS_PER_JOB = 5
 
 
+def _ends(edges: DataFrame, at_source: dict, at_target: dict) -> DataFrame:
+    """Both ends of every edge as rows, from one pass over the edges."""
+    def end(node, values):
+        return F.struct(F.col(node).alias("node_id"), *[v.alias(k) for k, v in values.items()])
+
+    both = F.array(end("source_id", at_source), end("target_id", at_target))
+    return edges.select(F.inline(both)).where("node_id is not null")
+
+
 def node_universe(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Every node of the table or of an edge end."""
-    return (
-        nodes.select("node_id")
-        .union(edges.select("source_id")).union(edges.select("target_id"))
-        .where("node_id is not null").distinct()
-    )
+    return nodes.select("node_id").where("node_id is not null").union(_ends(edges, {}, {})).distinct()
 
 
 def degree(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """In, out and total degree; parallel edges count each."""
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    marks = (
-        edges.select(F.col("source_id").alias("node_id"), zero.alias("i"), one.alias("o"))
-        .union(edges.select("target_id", one, zero))
-        .union(nodes.select("node_id", zero, zero))
-        .where("node_id is not null")
-    )
+    marks = _ends(edges, {"i": zero, "o": one}, {"i": one, "o": zero}).unionByName(
+        nodes.where("node_id is not null").select("node_id", zero.alias("i"), zero.alias("o")))
     return marks.groupBy("node_id").agg(
         F.sum("i").alias("in_degree"), F.sum("o").alias("out_degree"),
         (F.sum("i") + F.sum("o")).alias("total_degree"))
@@ -55,12 +59,8 @@ def exposure(nodes: DataFrame, edges: DataFrame, mode: str = "sum", seq: str | N
             (F.max(F.struct(F.col(seq), F.col("weight")))["weight"] * F.count("*")).alias("weight"))
     money = F.coalesce(F.col("weight"), F.lit(0.0)).cast("decimal(28,2)")
     none = F.lit(0).cast("decimal(28,2)")
-    flows = (
-        weighted.select(F.col("target_id").alias("node_id"), money.alias("i"), none.alias("o"))
-        .union(weighted.select("source_id", none, money))
-        .union(nodes.select("node_id", none, none))
-        .where("node_id is not null")
-    )
+    flows = _ends(weighted, {"i": none, "o": money}, {"i": money, "o": none}).unionByName(
+        nodes.where("node_id is not null").select("node_id", none.alias("i"), none.alias("o")))
     total = flows.groupBy("node_id").agg(F.sum("i").alias("i"), F.sum("o").alias("o"))
     return total.select(
         "node_id",
@@ -76,14 +76,58 @@ def neighbour_sets(edges: DataFrame) -> DataFrame:
 
     A hub's set does not fit one row, so sets stay relations.
     """
-    ends = edges.where("source_id is not null and target_id is not null")
-    return (
-        ends.select(F.col("source_id").alias("node_id"), F.col("target_id").alias("neighbour"))
-        .union(ends.select("target_id", "source_id")).distinct()
-    )
+    linked = edges.where("source_id is not null and target_id is not null")
+    return _ends(
+        linked, {"neighbour": F.col("target_id")}, {"neighbour": F.col("source_id")}).distinct()
+
 
+class IndexedGraph(NamedTuple):
+    """Nodes ``(node_id, id)`` and distinct links ``(src, dst, m)`` with ``m`` parallel edges."""
 
-def clustering(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    ids: DataFrame
+    links: DataFrame
+    n: int
+
+    def named(self, df: DataFrame, **ends: str) -> DataFrame:
+        """Replace whole-number columns by node ids: ``column="new_name"``."""
+        for column, name in ends.items():
+            df = df.join(self.ids.select(F.col("id").alias(column), F.col("node_id").alias(name)), column, "left")
+        return df
+
+
+def dense_ids(universe: DataFrame) -> DataFrame:
+    """Number distinct nodes 0..N-1 in id order.
+
+    Nodes are range-partitioned and written with their range number; each range is numbered
+    alone and shifted by the sizes of the ranges before it.
+    """
+    ranged = materialize(
+        universe.repartitionByRange("node_id").withColumn("part", F.spark_partition_id()), "ranged")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = ranged.groupBy("part").agg(F.count("*").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("node_id"))
+    return materialize(ranged.withColumn("place", place).join(shift, "part").select(
+        "node_id", (F.col("shift") + F.col("place") - 1).alias("id")), "ids")
+
+
+def index_graph(nodes: DataFrame, edges: DataFrame, rows_per_split: int = ROWS_PER_SPLIT) -> IndexedGraph:
+    """Whole-number form of a graph. Parallel edges are counted before any join."""
+    ids = dense_ids(node_universe(nodes, edges))
+    pairs = materialize(
+        edges.where("source_id is not null and target_id is not null")
+        .groupBy("source_id", "target_id").agg(F.count("*").alias("m")), "pairs")
+    half = sized_join(
+        pairs, ids.select(F.col("node_id").alias("source_id"), F.col("id").alias("src")),
+        ["source_id"], rows_per_split)
+    links = sized_join(
+        half.select("src", "target_id", "m"),
+        ids.select(F.col("node_id").alias("target_id"), F.col("id").alias("dst")),
+        ["target_id"], rows_per_split)
+    return IndexedGraph(ids, materialize(links.select("src", "dst", "m"), "links"), ids.count())
+
+
+def clustering(nodes: DataFrame, edges: DataFrame, indexed: IndexedGraph | None = None) -> DataFrame:
     """Directed edges among a node's neighbours over the ordered neighbour pairs.
 
     Undirected pairs are oriented from the end with fewer neighbours to the other, so a node
@@ -91,46 +135,40 @@ def clustering(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     triangle adds to a corner the number of directed edges on the opposite side. A self loop
     makes the node its own neighbour, and its links then count as links among neighbours.
     """
-    directed = edges.select("source_id", "target_id").where(
-        "source_id is not null and target_id is not null").distinct()
-    proper = directed.where("source_id <> target_id").groupBy(
-        F.least("source_id", "target_id").alias("a"), F.greatest("source_id", "target_id").alias("b"),
-    ).agg(F.count("*").alias("m"))
-    proper = materialize(proper, "pairs")
-
-    ends = proper.select(F.col("a").alias("node_id"), "m").union(proper.select("b", "m"))
-    around = ends.groupBy("node_id").agg(F.count("*").alias("k"), F.sum("m").alias("links"))
-    around = materialize(around, "around")
+    g = indexed or index_graph(nodes, edges)
+    proper = materialize(g.links.where("src <> dst").groupBy(
+        F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"),
+    ).agg(F.count("*").alias("m")), "undirected")
+    around = materialize(
+        proper.select(F.explode(F.array("a", "b")).alias("id"), "m")
+        .groupBy("id").agg(F.count("*").alias("k"), F.sum("m").alias("linked")), "around")
 
     def size(end):
-        return around.select(F.col("node_id").alias(end), F.col("k").alias(f"k_{end}"))
+        return around.select(F.col("id").alias(end), F.col("k").alias(f"k_{end}"))
 
-    sized = proper.join(size("a"), "a").join(size("b"), "b")
+    sized = sized_join(sized_join(proper, size("a"), ["a"]), size("b"), ["b"])
     a_first = F.struct("k_a", "a") < F.struct("k_b", "b")
-    oriented = sized.select(
+    oriented = materialize(sized.select(
         F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("v"),
-        F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("x"), "m")
-    oriented = materialize(oriented, "oriented")
+        F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("x"), "m"), "oriented")
 
     left = oriented.select("v", "x", F.col("m").alias("m_vx"))
     right = oriented.select("v", F.col("x").alias("y"), F.col("m").alias("m_vy"))
     wedges = left.join(right, "v").where("x < y")
     closing = proper.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("m").alias("m_xy"))
     corners = wedges.join(closing, ["x", "y"]).select(F.inline(F.array(
-        F.struct(F.col("v").alias("node_id"), F.col("m_xy").alias("opposite")),
-        F.struct(F.col("x").alias("node_id"), F.col("m_vy").alias("opposite")),
-        F.struct(F.col("y").alias("node_id"), F.col("m_vx").alias("opposite")),
+        F.struct(F.col("v").alias("id"), F.col("m_xy").alias("opposite")),
+        F.struct(F.col("x").alias("id"), F.col("m_vy").alias("opposite")),
+        F.struct(F.col("y").alias("id"), F.col("m_vx").alias("opposite")),
     )))
-    between = corners.groupBy("node_id").agg(F.sum("opposite").alias("between"))
-    loops = directed.where("source_id = target_id").select(
-        F.col("source_id").alias("node_id"), F.lit(1).alias("loop"))
+    between = corners.groupBy("id").agg(F.sum("opposite").alias("between"))
+    loops = g.links.where("src = dst").select(F.col("src").alias("id"), F.lit(1).alias("loop"))
     joined = (
-        node_universe(nodes, edges).join(around, "node_id", "left")
-        .join(between, "node_id", "left").join(loops, "node_id", "left")
-        .fillna(0, ["k", "links", "between", "loop"])
+        g.ids.join(around, "id", "left").join(between, "id", "left").join(loops, "id", "left")
+        .fillna(0, ["k", "linked", "between", "loop"])
     )
     k = F.col("k") + F.col("loop")
-    found = F.col("between") + F.col("loop") * F.col("links")
+    found = F.col("between") + F.col("loop") * F.col("linked")
     return joined.select(
         "node_id",
         F.when(k < 2, F.lit(0.0)).otherwise(found / (k * (k - 1))).alias("clustering_coefficient"))
@@ -138,113 +176,113 @@ def clustering(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def pagerank(
     nodes: DataFrame, edges: DataFrame, iters: int = 20, damping: float = 0.85,
-    dangling: str = "drop", rows_per_split: int = ROWS_PER_SPLIT,
+    dangling: str = "drop", rows_per_split: int = ROWS_PER_SPLIT, indexed: IndexedGraph | None = None,
 ) -> DataFrame:
     """Fixed-round PageRank; parallel edges count each on both sides.
 
     ``dangling='drop'`` loses the rank of nodes without outgoing edges, ``'uniform'``
-    spreads it over all nodes. Links are reduced to distinct pairs with their share first.
-    A source with more than ``rows_per_split`` links is cut into parts and its rank is
-    repeated per part.
+    spreads it over all nodes. A source with more than ``rows_per_split`` links is cut into
+    parts and its rank is repeated per part.
     """
-    universe = materialize(node_universe(nodes, edges), "universe")
-    n = universe.count()
-    if n == 0:
-        return universe.withColumn("pagerank_score", F.lit(0.0))
-    pairs = edges.where("source_id is not null and target_id is not null").groupBy(
-        F.col("source_id").alias("src"), F.col("target_id").alias("dst")).agg(F.count("*").alias("m"))
-    pairs = materialize(pairs, "links")
-    out = pairs.groupBy("src").agg(F.sum("m").alias("out_edges"), F.count("*").alias("out_pairs"))
-    parts = F.ceil(F.col("out_pairs") / rows_per_split).cast("int")
-    links = pairs.join(out, "src").select(
-        "src", "dst", (F.col("m") / F.col("out_edges")).alias("share"),
-        part_of(parts, F.col("dst")).alias("part"))
-    links = materialize(links, "links")
-    base = universe.join(
-        out.select(F.col("src").alias("node_id"), parts.alias("parts")), "node_id", "left"
-    ).fillna(0, ["parts"])
-    base = materialize(base, "universe")
+    g = indexed or index_graph(nodes, edges, rows_per_split)
+    if g.n == 0:
+        return g.ids.select("node_id", F.lit(0.0).alias("pagerank_score"))
+    out = g.links.groupBy("src").agg(F.sum("m").alias("out_edges"), F.count("*").alias("out_links"))
+    parts = F.ceil(F.col("out_links") / rows_per_split).cast("int")
+    base = materialize(g.ids.select("id").join(
+        out.select(F.col("src").alias("id"), parts.alias("parts")), "id", "left").fillna(0, ["parts"]), "base")
     split = (base.agg(F.max("parts")).first()[0] or 0) > 1
+    key = ["src", "part"] if split else ["src"]
+    # Placed and sorted once by the join key; rounds then move only ranks and partial sums.
+    shares = sized_join(g.links, out, ["src"], rows_per_split).select(
+        "src", "dst", (F.col("m") / F.col("out_edges")).alias("share"),
+        *([part_of(parts, F.col("dst")).alias("part")] if split else []))
+    width = int(shares.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = shares.repartition(width, *key).sortWithinPartitions(*key).persist()
 
-    start = (1.0 - damping) / n
-    ranks = base.withColumn("rank", F.lit(1.0 / n))
+    start = (1.0 - damping) / g.n
+    ranks = base.withColumn("rank", F.lit(1.0 / g.n))
     for i in range(iters):
-        sending = ranks.where("parts > 0")
+        sending = ranks.where("parts > 0").select(F.col("id").alias("src"), "rank", "parts")
         if split:
-            sending = sending.select(
-                F.col("node_id").alias("src"), "rank", all_parts(F.col("parts")).alias("part"))
-            flow = links.join(sending, ["src", "part"])
-        else:
-            flow = links.join(sending.select(F.col("node_id").alias("src"), "rank"), "src")
+            sending = sending.select("src", "rank", all_parts(F.col("parts")).alias("part"))
+        flow = shares.join(sending.drop("parts"), key)
         leak = F.lit(0.0)
         if dangling == "uniform":
             lost = ranks.where("parts = 0").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).scalar()
-            leak = F.lit(damping / n) * lost
+            leak = F.lit(damping / g.n) * lost
         arrivals = flow.select(
-            F.col("dst").alias("node_id"), (F.col("rank") * F.col("share")).alias("r"),
-            F.lit(0).alias("parts"),
-        ).unionByName(base.select("node_id", F.lit(0.0).alias("r"), "parts"))
-        ranks = arrivals.groupBy("node_id").agg(
+            F.col("dst").alias("id"), (F.col("rank") * F.col("share")).alias("r"), F.lit(0).alias("parts"),
+        ).unionByName(base.select("id", F.lit(0.0).alias("r"), "parts"))
+        ranks = arrivals.groupBy("id").agg(
             F.sum("r").alias("r"), F.max("parts").alias("parts")
-        ).select("node_id", "parts", (F.lit(start) + leak + F.lit(damping) * F.col("r")).alias("rank"))
+        ).select("id", "parts", (F.lit(start) + leak + F.lit(damping) * F.col("r")).alias("rank"))
         # The uniform variant reads the ranks twice per round.
-        if dangling == "uniform" or (i + 1) % ROUNDS_PER_JOB == 0:
+        if dangling == "uniform" or (i + 1) % ROUNDS_PER_JOB == 0 or i + 1 == iters:
             ranks = materialize(ranks, "ranks")
-    return ranks.select("node_id", F.col("rank").alias("pagerank_score"))
+    shares.unpersist()
+    return g.ids.join(ranks, "id").select("node_id", F.col("rank").alias("pagerank_score"))
 
 
-def frontier_expand(frontier: DataFrame, links: DataFrame, visited: DataFrame) -> DataFrame:
-    """Next BFS level: unseen targets per source, parent = smallest id that reaches them."""
-    reached = frontier.join(links, F.col("node_id") == F.col("src")).groupBy(
-        "source", F.col("dst").alias("node_id")
-    ).agg(F.min("src").alias("parent"), (F.max("depth") + 1).alias("depth"))
-    return reached.join(visited.select("source", "node_id"), ["source", "node_id"], "left_anti")
+def frontier_expand(frontier: DataFrame, links: DataFrame, visited: DataFrame, keys: list[str]) -> DataFrame:
+    """Next BFS level: unseen targets per source, parent = smallest id that reaches them.
 
+    Targets are reduced per (source, node) in the tasks that find them, before the shuffle.
+    """
+    reached = frontier.select(F.col("id").alias("src"), "slot", "depth", *keys[1:]).join(links, keys)
+    found = reached.groupBy("slot", F.col("dst").alias("id")).agg(
+        F.min("src").alias("parent"), (F.max("depth") + 1).alias("depth"))
+    return found.join(visited.select("slot", "id"), ["slot", "id"], "left_anti")
 
-def bfs_tree(
-    edges: DataFrame, sources: DataFrame, max_depth: int | None = None,
-    rows_per_split: int = ROWS_PER_SPLIT,
-) -> DataFrame:
-    """One BFS tree per source over outgoing edges: (source, node_id, parent, depth).
 
-    Targets are reduced per (source, node) before they are shuffled. A node with more than
-    ``rows_per_split`` links has them cut into parts, each under a key of its own.
-    """
-    pairs = materialize(
-        edges.select(F.col("source_id").alias("src"), F.col("target_id").alias("dst"))
-        .where("src is not null and dst is not null and src <> dst").distinct(), "links")
-    out = pairs.groupBy("src").agg(F.ceil(F.count("*") / rows_per_split).cast("int").alias("parts"))
-    hot = materialize(out.where("parts > 1"), "hot")
-    links = pairs
-    any_hot = not hot.isEmpty()
-    if any_hot:
-        links = materialize(
-            pairs.join(hot, "src", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-            .select("src", "dst", part_of(F.col("parts"), F.col("dst")).alias("part")), "links")
-
-    level = sources.select(
-        F.col("node_id").alias("source"), "node_id", F.lit(None).cast("string").alias("parent"),
-        F.lit(0).alias("depth")).distinct()
-    tree = level = materialize(level, "level")
-    depth = 0
+def _bfs(
+    g: IndexedGraph, sources: DataFrame, max_depth: int | None = None,
+    rows_per_split: int = ROWS_PER_SPLIT,
+) -> tuple[DataFrame, DataFrame]:
+    """Trees as (slot, id, parent, depth) and the sources as (slot, id)."""
+    links = g.links.where("src <> dst").select("src", "dst")
+    heavy = materialize(
+        links.groupBy("src").agg(F.ceil(F.count("*") / rows_per_split).cast("int").alias("parts"))
+        .where("parts > 1"), "heavy")
+    split = not heavy.isEmpty()
+    if split:
+        links = materialize(links.join(heavy, "src", "left").select(
+            "src", "dst", part_of(F.coalesce("parts", F.lit(1)), F.col("dst")).alias("part")), "links")
+
+    # Sources are a short list by contract, so numbering them in one task is cheap.
+    numbered = materialize(sources.select("node_id").distinct().join(g.ids, "node_id").select(
+        F.row_number().over(Window.orderBy("id")).alias("slot"), "id"), "sources")
+    level = materialize(numbered.select(
+        "slot", "id", F.lit(None).cast("bigint").alias("parent"), F.lit(0).alias("depth")), "level")
+    tree, depth = level, 0
     while max_depth is None or depth < max_depth:
-        if any_hot:
-            front = level.join(hot.withColumnRenamed("src", "node_id"), "node_id", "left").select(
-                "source", "node_id", "depth",
-                all_parts(F.coalesce("parts", F.lit(1))).alias("front_part"))
-            reach = front.join(
-                links, (F.col("node_id") == F.col("src")) & (F.col("front_part") == F.col("part")))
-            found = reach.groupBy("source", F.col("dst").alias("node_id")).agg(
-                F.min("src").alias("parent"), (F.max("depth") + 1).alias("depth"))
-            level = found.join(tree.select("source", "node_id"), ["source", "node_id"], "left_anti")
-        else:
-            level = frontier_expand(level, links, tree)
-        level = materialize(level.select(*tree.columns), "level")
+        front, keys = level, ["src"]
+        if split:
+            front = level.join(heavy.withColumnRenamed("src", "id"), "id", "left").select(
+                "slot", "id", "depth", all_parts(F.coalesce("parts", F.lit(1))).alias("part"))
+            keys = ["src", "part"]
+        level = materialize(frontier_expand(front, links, tree, keys).select(*tree.columns), "level")
         if level.isEmpty():
             break
         depth += 1
         tree = tree.unionByName(level)
-    return tree
+    return tree, numbered
+
+
+def bfs_tree(
+    nodes: DataFrame, edges: DataFrame, sources: DataFrame, max_depth: int | None = None,
+    rows_per_split: int = ROWS_PER_SPLIT, indexed: IndexedGraph | None = None,
+) -> DataFrame:
+    """One BFS tree per source over outgoing edges: (source, node_id, parent, depth).
+
+    A node with more than ``rows_per_split`` links has them cut into parts, each under a key
+    of its own.
+    """
+    g = indexed or index_graph(nodes, edges, rows_per_split)
+    tree, numbered = _bfs(g, sources, max_depth, rows_per_split)
+    rooted = tree.join(numbered.select("slot", F.col("id").alias("root")), "slot")
+    return g.named(rooted, root="source", id="node_id", parent="parent_id").select(
+        "source", "node_id", F.col("parent_id").alias("parent"), "depth")
 
 
 def seeded_sources(universe: DataFrame, n: int = 100, seed: int = 0) -> DataFrame:
@@ -254,32 +292,33 @@ def seeded_sources(universe: DataFrame, n: int = 100, seed: int = 0) -> DataFram
 
 def betweenness_sampled(
     nodes: DataFrame, edges: DataFrame, sources: int = 100, seed: int = 0,
+    rows_per_split: int = ROWS_PER_SPLIT, indexed: IndexedGraph | None = None,
 ) -> DataFrame:
     """Interior visits over one BFS tree per sampled source, over (N - 1)(N - 2).
 
     The paths that pass a node are as many as its descendants in the tree, so levels are
     folded from the deepest up and no path is ever built.
     """
-    universe = materialize(node_universe(nodes, edges), "universe")
-    n = universe.count()
-    tree = materialize(bfs_tree(edges, seeded_sources(universe, sources, seed)), "tree")
+    g = indexed or index_graph(nodes, edges, rows_per_split)
+    tree, numbered = _bfs(g, seeded_sources(g.ids, sources, seed), None, rows_per_split)
     deepest = tree.agg(F.max("depth")).first()[0] or 0
-    below = tree.limit(0).select("source", "node_id", F.lit(0).cast("bigint").alias("n_below"))
+    below = tree.limit(0).select("slot", "id", F.lit(0).cast("bigint").alias("n_below"))
     counts = []
-    for depth in range(deepest, 0, -1):
+    for depth in range(deepest, 1, -1):
         folded = (
-            tree.where(F.col("depth") == depth).join(below, ["source", "node_id"], "left")
-            .groupBy("source", F.col("parent").alias("node_id"))
+            tree.where(F.col("depth") == depth).join(below, ["slot", "id"], "left")
+            .groupBy("slot", F.col("parent").alias("id"))
             .agg(F.sum(1 + F.coalesce("n_below", F.lit(0))).alias("n_below"))
         )
         below = materialize(folded, "below")
-        counts.append(below.where("node_id <> source").select("node_id", "n_below"))
-    norm = float((n - 1) * (n - 2)) if n > 2 else 1.0
-    visits = universe.select("node_id", F.lit(0).cast("bigint").alias("n_below"))
+        counts.append(below.select("id", "n_below"))
+    norm = float((g.n - 1) * (g.n - 2)) if g.n > 2 else 1.0
+    # Depth 1 nodes hang off the source, which is an end of every path.
+    visits = g.ids.select("id", F.lit(0).cast("bigint").alias("n_below"))
     for part in counts:
         visits = visits.unionByName(part)
-    return visits.groupBy("node_id").agg(
-        (F.sum("n_below") / F.lit(norm)).alias("betweenness_centrality"))
+    total = visits.groupBy("id").agg((F.sum("n_below") / F.lit(norm)).alias("betweenness_centrality"))
+    return g.ids.join(total, "id").select("node_id", "betweenness_centrality")
 
 
 METRICS = [
@@ -306,9 +345,10 @@ def node_features(
     """
     nodes, edges = materialize(nodes, "nodes"), materialize(
         edges.select("source_id", "target_id", "weight"), "edges")
+    g = index_graph(nodes, edges)
     joined = feature_join(nodes, [
-        pagerank(nodes, edges, iters), degree(nodes, edges),
-        betweenness_sampled(nodes, edges, sources, seed),
-        clustering(nodes, edges), exposure(nodes, edges),
+        pagerank(nodes, edges, iters, indexed=g), degree(nodes, edges),
+        betweenness_sampled(nodes, edges, sources, seed, indexed=g),
+        clustering(nodes, edges, indexed=g), exposure(nodes, edges),
     ])
     return materialize(fill_zero_all(joined.select(*nodes.columns, *METRICS)), "features")

@@ -218,7 +218,7 @@ def cross_validate_f1(
     f1 = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
     model = CrossValidator(
         estimator=forest, estimatorParamMaps=ParamGridBuilder().build(), evaluator=f1,
-        numFolds=folds, foldCol="fold", parallelism=2).fit(scaled)
+        numFolds=folds, foldCol="fold", parallelism=4).fit(scaled)
     return df.sparkSession.createDataFrame(
         [("cv_f1", float(model.avgMetrics[0]), float(model.stdMetrics[0]))],
         "metric string, mean double, std double")

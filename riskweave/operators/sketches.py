@@ -48,8 +48,8 @@ def bloom_build(
 
 def bloom_pack(bits: DataFrame) -> DataFrame:
     """Stored form of the filter: 4 KiB bitmaps by bucket number."""
-    return bits.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap"))
+    return bits.groupBy(F.bitmap_bucket_number(F.col("bit") + 1).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.col("bit") + 1)).alias("bitmap"))
 
 
 def bloom_contains(

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.session import materialize
+
 # Rows of one key that a single task should handle.
 ROWS_PER_SPLIT = 1_000_000
 
@@ -37,7 +39,7 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], rows_per_split: int = ROWS_PE
 
 def split_join(
     heavy: DataFrame, other: DataFrame, keys: Sequence[str],
-    rows_per_split: int = ROWS_PER_SPLIT, how: str = "inner",
+    rows_per_split: int = ROWS_PER_SPLIT, how: str = "inner", hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join whose heavy keys are spread over several tasks.
 
@@ -45,7 +47,8 @@ def split_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("the repeated side cannot be kept: use inner or left")
-    hot = heavy_keys(heavy, keys, rows_per_split)
+    if hot is None:
+        hot = heavy_keys(heavy, keys, rows_per_split)
     own = [c for c in heavy.columns if c not in keys] or list(keys)
 
     def with_parts(df):
@@ -55,3 +58,14 @@ def split_join(
     left = with_parts(heavy).withColumn("_part", part_of(F.col("_parts"), *[F.col(c) for c in own]))
     right = with_parts(other).withColumn("_part", all_parts(F.col("_parts")))
     return left.drop("_parts").join(right.drop("_parts"), [*keys, "_part"], how).drop("_part")
+
+
+def sized_join(
+    heavy: DataFrame, other: DataFrame, keys: Sequence[str],
+    rows_per_split: int = ROWS_PER_SPLIT, how: str = "inner",
+) -> DataFrame:
+    """``split_join`` when a key is heavy, a plain join when none is; counts the keys first."""
+    hot = materialize(heavy_keys(heavy, keys, rows_per_split), "heavy")
+    if hot.isEmpty():
+        return heavy.join(other, list(keys), how)
+    return split_join(heavy, other, keys, rows_per_split, how, hot)

@@ -86,7 +86,7 @@ def path_count(spark, sf):
 @query
 def validation_report(spark, sf):
     nodes, edges = T.graph(spark, sf)
-    return stats.validation_report(integrate.entity_mapping(nodes), nodes, edges)
+    return stats.validation_report(materialize(integrate.entity_mapping(nodes), "mapping"), nodes, edges)
 
 
 @query
@@ -247,17 +247,17 @@ def risk_level(spark, sf):
 
 @query
 def node_universe(spark, sf):
-    return graph.node_universe(*T.graph(spark, sf))
+    return graph.node_universe(T.nodes(spark, sf), T.edges(spark, sf))
 
 
 @query
 def degree(spark, sf):
-    return graph.degree(*T.graph(spark, sf))
+    return graph.degree(T.nodes(spark, sf), T.edges(spark, sf))
 
 
 @query
 def exposure_sum(spark, sf):
-    return graph.exposure(*T.graph(spark, sf))
+    return graph.exposure(T.nodes(spark, sf), T.edges(spark, sf))
 
 
 @query
@@ -283,7 +283,7 @@ def pagerank(spark, sf):
 @query
 def bfs_tree(spark, sf):
     nodes, edges = T.graph(spark, sf)
-    return graph.bfs_tree(edges, graph.seeded_sources(graph.node_universe(nodes, edges)))
+    return graph.bfs_tree(nodes, edges, graph.seeded_sources(graph.node_universe(nodes, edges)))
 
 
 @query

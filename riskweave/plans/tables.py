@@ -142,8 +142,9 @@ def edges(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Nodes and edges written out once, for jobs that read them several times."""
-    return materialize(nodes(spark, sf), "nodes"), materialize(edges(spark, sf), "edges")
+    """Nodes and the edge columns that graph jobs use, written out once for repeated reads."""
+    links = edges(spark, sf).select("source_id", "target_id", "relationship_type", "network_layer", "weight")
+    return materialize(nodes(spark, sf), "nodes"), materialize(links, "edges")
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
