@@ -193,7 +193,7 @@ def dgim_stats(state: DataFrame, window: int = WINDOW, by: Sequence[str] = ()) -
     return state.groupBy(*by).agg(
         F.lit(window).cast("bigint").alias("window_size"), F.max("current_time").alias("current_time"),
         F.count("*").alias("num_buckets"),
-        (F.sum("bucket_size") - F.floor(oldest / 2)).cast("bigint").alias("estimated_count"))
+        F.coalesce(F.sum("bucket_size") - F.floor(oldest / 2), F.lit(0)).cast("bigint").alias("estimated_count"))
 
 
 # -- distinct count ---------------------------------------------------------------------
@@ -273,8 +273,9 @@ def edge_stream_report(edges: DataFrame, seq: str, limit: float = HIGH_RISK_LIMI
         return df.select(F.struct("*")).scalar()
 
     key = edge_key()
-    # Without any one in the window the sliding count has no bucket row.
-    sliding = dgim_stats(dgim(edges, flag, seq))
+    # Without any one in the window there is no bucket to tell the time.
+    sliding = dgim_stats(dgim(edges, flag, seq)).withColumn(
+        "current_time", edges.agg(F.count("*")).scalar())
     return reservoir_stats(edges).select(F.struct("*").alias("reservoir")).select(
         one(bloom_stats(edges, key)).alias("bloom_filter"),
         one(sliding).alias("dgim"),

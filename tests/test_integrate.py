@@ -1,0 +1,131 @@
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import functions as F
+
+from riskweave.operators import integrate, stats
+
+
+def profiles(spark, ids):
+    return spark.createDataFrame(
+        [(i, f"{i} Corp", "tier1", 10.0, 6.0, 5.0, 1.0, 2, 3) for i in ids],
+        "institution_id string, institution_name string, tier string, total_assets double, "
+        "total_deposits double, total_loans double, equity double, num_branches long, num_employees long")
+
+
+def fundamentals(spark, ids):
+    return spark.createDataFrame([(i, f"{i} Inc", "Fin", 7.0, None) for i in ids],
+                                 "symbol string, company_name string, sector string, market_cap double, beta double")
+
+
+def test_entity_classes(spark):
+    """100 banks and 136 stocks that share 32 tickers: 32 matched, 68 and 104 alone."""
+    nodes = integrate.unified_nodes(
+        profiles(spark, [f"T{i}" for i in range(100)]), None, fundamentals(spark, [f"T{i}" for i in range(68, 204)]), None)
+    mapping = integrate.entity_mapping(nodes)
+    counts = {r["entity_type"]: r["count"] for r in mapping.groupBy("entity_type").count().collect()}
+    assert counts == {"publicly_traded_bank": 32, "bank_not_public": 68, "stock_not_bank": 104}
+    alone = mapping.where("entity_type = 'stock_not_bank'").first()
+    assert alone["total_assets"] == 0 and alone["entity_name"].endswith("Inc") and alone["bank_node_id"] is None
+    both = mapping.where("matched").first()
+    assert both["entity_name"].endswith("Corp") and both["market_cap"] == 7.0
+    bridges = integrate.bridge_edges(mapping)
+    assert bridges.count() == 64
+    factors = {r["relationship_type"]: r["propagation_factor"] for r in bridges.collect()}
+    assert factors == {"PUBLICLY_TRADED_AS": 0.9, "REPRESENTS_BANK": 0.8}
+    assert {r["side"]: r["count"] for r in integrate.ticker_sets(nodes).groupBy("side").count().collect()} == {
+        "both": 32, "bank_only": 68, "stock_only": 104}
+
+
+def test_nodes_default_and_drop_keyless_rows(spark):
+    fdic = spark.createDataFrame([("628.0", None, None), (None, "No key", 1.0)], "CERT string, NAME string, ASSET double")
+    stocks = fundamentals(spark, ["A", "A"])
+    held = spark.createDataFrame([("1",), ("1",), (None,)], "filer_cik string")
+    nodes = integrate.unified_nodes(None, fdic, stocks, held)
+    rows = {r["node_id"]: r for r in nodes.collect()}
+    assert sorted(rows) == ["FDIC_628", "INST_1", "STOCK_A"]
+    assert rows["FDIC_628"]["name"] == "Unknown" and rows["FDIC_628"]["assets"] == 0 and rows["FDIC_628"]["city"] == ""
+    assert rows["STOCK_A"]["beta"] == 1.0 and rows["STOCK_A"]["industry"] == "Unknown"
+    assert rows["INST_1"]["name"] == "Institution_1"
+
+
+def test_first_row_wins_even_for_a_hot_key(spark):
+    rows = [("k", i, float(i)) for i in range(5000, 0, -1)] + [("j", 9, 1.0)]
+    df = spark.createDataFrame(rows, "key string, seq long, v double").repartition(7)
+    out = {r["key"]: r["v"] for r in integrate.first_wins(df, ["key"], ["seq"]).collect()}
+    assert out == {"k": 1.0, "j": 1.0}
+
+
+def test_edges_of_every_layer(spark):
+    lending = spark.createDataFrame(
+        [(2, "A", "B", None, 5.0), (1, "A", "B", None, 9.0), (3, "A", None, "x", 1.0)],
+        "seq long, from_institution string, to_institution string, relationship_type string, amount_usd double")
+    corr = spark.createDataFrame([("A", "B", -0.5)], "symbol1 string, symbol2 string, correlation double")
+    own = spark.createDataFrame(
+        [("7", "A", 3.0, None), ("7", "INST_8", 4.0, 2.0)],
+        "owner_cik string, owned_ticker string, ownership_value double, shares_held double")
+    rows = {(r["source_id"], r["target_id"]): r for r in integrate.unified_edges(lending, corr, own).collect()}
+    loan = rows["BANK_A", "BANK_B"]
+    assert loan["weight"] == 9.0 and loan["relationship_type"] == "interbank_lending" and loan["currency"] == "USD"
+    market = rows["STOCK_A", "STOCK_B"]
+    assert market["weight"] == 0.5 and market["correlation"] == -0.5 and market["window_days"] == 90
+    assert rows["INST_7", "STOCK_A"]["shares_held"] == 0
+    assert rows["INST_7", "INST_8"]["shares_held"] == 2
+    assert len(rows) == 4
+
+
+def test_statistics_formulas(spark):
+    """Sizes of a published network: 4476 / 13532, 136 / 3934, 3 / 1881."""
+    sizes = {"banking": (4476, 13532), "market": (136, 3934), "ownership": (3, 1881)}
+    nodes = spark.createDataFrame(
+        [(layer, "t") for layer, (n, _) in sizes.items() for _ in range(n)], "network_layer string, node_type string")
+    edges = spark.createDataFrame(
+        [(layer, "INST_1", "r") for layer, (_, e) in sizes.items() for _ in range(e)]
+        + [("cross_layer_bridge", "BANK_1", "PUBLICLY_TRADED_AS")] * 32,
+        "network_layer string, source_id string, relationship_type string")
+    rows = {r["network_layer"]: r for r in stats.network_statistics(nodes, edges).collect()}
+    assert set(rows) == set(sizes)
+    assert math.isclose(rows["banking"]["avg_degree"], 3.0232350312779266)
+    assert math.isclose(rows["banking"]["density"], 0.0006755832472129446)
+    assert math.isclose(rows["market"]["density"], 0.21427015250544662)
+    assert rows["ownership"]["density"] == 313.5
+    mapping = spark.createDataFrame([(True,)] * 32 + [(False,)] * 172, "matched boolean")
+    assert stats.path_count(mapping, edges).first()["possible_paths"] == 60192
+    links = stats.layer_connectivity(edges).first()
+    assert (links["banking_to_market"], links["market_to_ownership"], links["banking_to_ownership"]) == (32, 1881, 0)
+
+
+def test_single_node_layer_has_no_density(spark):
+    nodes = spark.createDataFrame([("a", "t")], "network_layer string, node_type string")
+    edges = spark.createDataFrame([], "network_layer string, source_id string, relationship_type string")
+    row = stats.network_statistics(nodes, edges).first()
+    assert (row["edges"], row["density"], row["avg_degree"]) == (0, 0.0, 0.0)
+
+
+def test_unknown_issuer_has_a_stable_ticker(spark):
+    held = spark.createDataFrame([("1", "c1", 2.0, 3, None), ("1", "c9", 2.0, 3, None)],
+                                 "filer_cik string, issuer_name string, value double, shares long, filing_date date")
+    known = spark.createDataFrame([("c1", "JPM"), ("c1", "JPM"), ("c2", None)], "cik string, ticker string")
+    out = {r["owned_company_name"]: r["owned_ticker"] for r in integrate.cik_to_ticker(held, known).collect()}
+    assert out == {"c1": "JPM", "c9": "UNK_c9"}
+
+
+def test_import_layout(spark):
+    nodes = spark.createDataFrame([("a", "bank")], "node_id string, node_type string")
+    assert integrate.to_import_nodes(nodes).columns == ["node_id:ID", "node_type", ":LABEL"]
+    edges = spark.createDataFrame([("a", "b", "t")], "source_id string, target_id string, relationship_type string")
+    assert integrate.to_import_edges(edges).columns == [":START_ID", ":END_ID", ":TYPE"]
+
+
+def test_statistics_document_is_one_row(spark):
+    nodes = integrate.unified_nodes(profiles(spark, ["A", "B"]), None, fundamentals(spark, ["A"]), None)
+    mapping = integrate.entity_mapping(nodes)
+    lending = spark.createDataFrame([("A", "B")], "from_institution string, to_institution string")
+    edges = integrate.unified_edges(lending, None, None, mapping)
+    row = stats.statistics_document(nodes, edges, mapping).first()
+    assert row["total_nodes"] == 3 and row["total_edges"] == 3
+    assert row["layers"]["banking"]["node_types"] == {"bank": 2}
+    assert row["cross_layer_connections"]["connected_entities"] == 1
+    sections = {r["section"] for r in stats.validation_report(mapping, nodes, edges).select(F.col("section")).collect()}
+    assert "example_contagion" in sections
