@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.columns import HIGH_RISK_LIMIT, col_of, high_risk_flag
 from riskweave.functions.hashing import base31, coefficients, linear_hash, order_key, pair56
+from riskweave.operators.skew import ROWS_PER_SPLIT, split_join
 
 # Default sizes of the sketches.
 BLOOM_BITS, BLOOM_HASHES = 10_000, 5
@@ -88,15 +89,17 @@ def bloom_size(expected_items: int, false_positive_rate: float) -> tuple[int, in
     return m, max(1, round(m / max(expected_items, 1) * math.log(2)))
 
 
-def bloom_dedupe(df: DataFrame, key: Column | str, seq: str) -> DataFrame:
+def bloom_dedupe(
+    df: DataFrame, key: Column | str, seq: str, rows_per_split: int = ROWS_PER_SPLIT,
+) -> DataFrame:
     """Flag rows whose key was seen earlier in ``seq`` order; exact, no false positives.
 
-    The first position of a key is a partial aggregate and is joined back, so a key with a
-    third of all rows is never sorted in one task.
+    The first position of a key is a partial aggregate and is joined back in parts, so a key
+    with a third of all rows never meets in one task.
     """
     keyed = df.withColumn("_key", col_of(key))
     first = keyed.where("_key is not null").groupBy("_key").agg(F.min(seq).alias("_first"))
-    joined = keyed.join(first, "_key", "left")
+    joined = split_join(keyed, first, ["_key"], rows_per_split, "left")
     return joined.withColumn(
         "is_duplicate", F.coalesce(F.col(seq) > F.col("_first"), F.lit(False))).drop("_key", "_first")
 
@@ -152,39 +155,45 @@ def trailing_ones(
         (F.col("ones") - F.coalesce("_old", F.lit(0))).alias("ones_in_window"))
 
 
+def bucket_starts(totals: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Buckets after ``total_ones`` ones: (shard, bucket_size, ones), the newest one of each.
+
+    With one or two buckets per size, the sizes are the digits of the count in the base-2
+    system with digits 1 and 2, so they follow from the count alone.
+    """
+    n = F.col("total_ones")
+    sized = totals.where(n > 0).select(
+        *by, "total_ones", F.explode(F.sequence(F.lit(0), F.length(F.bin(n + 1)) - 2)).alias("_level"))
+    one, size = F.lit(1).cast("bigint"), F.expr("shiftleft(1L, _level)")
+    # Ones in all smaller buckets.
+    newer = F.pmod(n + one, size) + size - one
+    return sized.select(
+        *by, "total_ones", size.alias("bucket_size"), newer.alias("_newer"),
+        F.explode(F.sequence(F.lit(0), F.expr("cast(shiftright(total_ones + 1L, _level) & 1L as int)"))).alias("_j"),
+    ).select(*by, "bucket_size", (n - F.col("_newer") - F.col("_j") * F.col("bucket_size")).alias("ones"))
+
+
 def dgim(
     df: DataFrame, bit: Column | str, seq: str, window: int = WINDOW,
     by: Sequence[str] = (), span: int = 1_000_000,
 ) -> DataFrame:
     """Exponential-bucket state after the whole stream: (shard, bucket_size, bucket_end).
 
-    With one or two buckets per size, the sizes after n ones are the digits of n in the
-    base-2 system with digits 1 and 2. Sizes therefore follow from n alone, and a bucket
-    ends at the one whose rank from the newest is the start of the bucket. The state is a
-    join of the ones with those few ranks; no row is replayed in order. Buckets that ended
-    ``window`` or more items ago are expired.
+    The state is a join of the ones with the few that end a bucket; no row is replayed in
+    order. Buckets that ended ``window`` or more items ago are expired.
     """
     by = list(by)
     counted = running_counts(df, bit, seq, by, span)
-    total = counted.groupBy(*by).agg(F.max("pos").alias("_now"), F.max("ones").alias("_n"))
-    digits = F.length(F.bin(F.col("_n") + 1)) - 1
-    level = total.where("_n > 0").select(
-        *by, "_now", "_n", F.explode(F.sequence(F.lit(0), digits - 1)).alias("_level"))
-    one, two = F.lit(1).cast("bigint"), F.expr("shiftleft(1L, _level)")
-    # Ones in all smaller sizes: (n + 1) mod 2^level + 2^level - 1.
-    smaller = F.pmod(F.col("_n") + one, two) + two - one
-    starts = level.select(
-        *by, "_now", "_n", two.alias("bucket_size"),
-        F.explode(F.sequence(
-            F.lit(0), F.expr("cast(shiftright(_n + 1L, _level) & 1L as int)"))).alias("_j"),
-        smaller.alias("_smaller"),
-    ).select(
-        *by, "_now", "bucket_size",
-        (F.col("_n") - F.col("_smaller") - F.col("_j") * F.col("bucket_size")).alias("ones"))
-    newest = counted.where("_bit = 1").select(*by, "ones", F.col("pos").alias("bucket_end"))
-    return newest.join(starts, [*by, "ones"]).where(
-        F.col("bucket_end") > F.col("_now") - F.lit(window)
-    ).select(*by, "bucket_size", "bucket_end", F.col("_now").alias("current_time"))
+    totals = counted.groupBy(*by).agg(
+        F.max("pos").alias("current_time"), F.max("ones").alias("total_ones"))
+    ends = counted.where("_bit = 1").select(*by, "ones", F.col("pos").alias("bucket_end"))
+    found = ends.join(bucket_starts(totals, by), [*by, "ones"])
+    if by:
+        timed = found.join(totals.select(*by, "current_time"), by)
+    else:
+        timed = found.withColumn("current_time", totals.select("current_time").scalar())
+    return timed.where(F.col("bucket_end") > F.col("current_time") - F.lit(window)).select(
+        *by, "bucket_size", "bucket_end", "current_time")
 
 
 def dgim_stats(state: DataFrame, window: int = WINDOW, by: Sequence[str] = ()) -> DataFrame:

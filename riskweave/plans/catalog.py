@@ -817,8 +817,8 @@ def stream_dedupe(spark, sf):
     return _run(stateful.stream_dedupe(pairs, ["user_id", "event_type"]), spark)
 
 
-def _updates(stream, spark, key):
-    """Run a stream in update mode; keep the last row of every key by batch."""
+def _last_update(stream, spark):
+    """Run a one-row stream in update mode and read its last row."""
     out = scratch_path(spark, "updates")
 
     def write(batch, batch_id):
@@ -826,24 +826,26 @@ def _updates(stream, spark, key):
 
     _finish(stream.writeStream.outputMode("update").option(
         "checkpointLocation", scratch_path(spark, "stream")).foreachBatch(write).trigger(availableNow=True).start())
-    rows = spark.read.parquet(out).drop("b")
-    return integrate.first_wins(rows.withColumn("batch", -F.col("batch")), key, ["batch"]).drop("batch") if key else \
-        rows.orderBy(F.desc("batch")).limit(1).drop("batch")
+    return spark.read.parquet(out).orderBy(F.desc("batch")).limit(1).drop("batch", "b")
 
 
 @query
 def stream_distinct(spark, sf):
     stream = stateful.stream_distinct(_replay(spark, _events(spark, sf), "event_id"), "user_id", kind=KIND)
-    return _updates(stream, spark, None).select(
+    return _last_update(stream, spark).select(
         F.array_join(F.col("max_trailing_zeros").cast("array<string>"), ",").alias("max_trailing_zeros"),
         "estimated_cardinality")
 
 
 @query
 def stream_dgim(spark, sf):
-    stream = _replay(spark, _events(spark, sf), "event_id")
-    bits = stateful.stream_dgim(stream, F.col("value") > 50, "event_id", "user_id", window=20)
-    return _updates(bits, spark, ["shard"])
+    """Large event values of each user among the user's last 20 events."""
+    state = scratch_path(spark, "dgim-state")
+    _finish(stateful.run_stream_dgim(
+        _replay(spark, _events(spark, sf), "event_id"), F.col("value") > 50, "event_id", ["user_id"],
+        state, scratch_path(spark, "stream"), window=20))
+    buckets = stateful.stream_dgim_state(spark, state).where("ones is not null")
+    return sketches.dgim_stats(buckets, 20, ["user_id"])
 
 
 @query
@@ -851,7 +853,7 @@ def stream_reservoir(spark, sf):
     state = scratch_path(spark, "reservoir")
     _finish(stateful.run_stream_reservoir(
         _replay(spark, _events(spark, sf), "event_id"), ["event_id"], state, scratch_path(spark, "stream")))
-    return spark.read.parquet(upsert.latest_version(spark, state)).select("event_id", "user_id")
+    return spark.read.parquet(stateful.latest_version(spark, state)).select("event_id", "user_id")
 
 
 @query
@@ -862,7 +864,7 @@ def graph_upsert_nodes(spark, sf):
         F.col("event_type").alias("last_type"), F.when(F.col("value") > 100, F.col("value")).alias("last_large"))
     state = scratch_path(spark, "nodes-state")
     _finish(upsert.run_node_upsert(stream, state, scratch_path(spark, "stream"), "event_id"))
-    return upsert.state_values(spark.read.parquet(upsert.latest_version(spark, state)), ["node_id"])
+    return upsert.state_values(upsert.read_state(spark, state, upsert.NODE_KEY), upsert.NODE_KEY)
 
 
 @query
@@ -871,8 +873,8 @@ def graph_upsert_edges(spark, sf):
     stream = _replay(spark, T.transactions(spark, sf), "seq")
     edges, ends = scratch_path(spark, "edges-state"), scratch_path(spark, "ends-state")
     _finish(upsert.run_edge_upsert(stream, edges, ends, scratch_path(spark, "stream"), "seq"))
-    out = upsert.state_values(spark.read.parquet(upsert.latest_version(spark, edges)), upsert.EDGE_KEY)
-    known = spark.read.parquet(upsert.latest_version(spark, ends))
+    out = upsert.state_values(upsert.read_state(spark, edges, upsert.EDGE_KEY), upsert.EDGE_KEY)
+    known = upsert.read_state(spark, ends, upsert.NODE_KEY)
     return out.join(known.select(F.col("node_id").alias("target_id")), "target_id", "left_semi").select(
         *upsert.EDGE_KEY, "weight")
 

@@ -348,13 +348,24 @@ def _trailing(window: int, by: str = "") -> str:
             f"({part}order by seq rows between {window - 1} preceding and current row) as bigint) as ones_in_window from tx")
 
 
-DGIM = _running() + """,
-total as (select max(pos) as now, max(ones) as n from run),
-lens as (select unnest(range(0, cast(floor(log2(n + 1)) as bigint))) as lvl, n, now from total),
-sizes as (select now, n, cast(1 as bigint) << lvl as size, lvl, unnest(range(0, 1 + cast(((n + 1) >> lvl) & 1 as bigint))) as j from lens),
-ordered as (select now, n, size, sum(size) over (order by lvl, j rows between unbounded preceding and current row) - size as newer from sizes),
-dgim as (select o.size as bucket_size, r.pos as bucket_end, o.now as "current_time" from ordered o
-  join run r on r.bit = 1 and r.ones = o.n - o.newer where r.pos > o.now - 1000)"""
+
+
+def _dgim(window: int, by: str = "") -> str:
+    lead, link = (f"{by}, ", f"and r.{by} = o.{by}") if by else ("", "")
+    group, part = (f"group by {by}", f"partition by {by} ") if by else ("", "")
+    return f""",
+total as (select {lead}max(pos) as now, max(ones) as n from run {group}),
+lens as (select {lead}unnest(range(0, cast(floor(log2(n + 1)) as bigint))) as lvl, n, now from total),
+sizes as (select {lead}now, n, cast(1 as bigint) << lvl as size, lvl, unnest(range(0, 1 + cast(((n + 1) >> lvl) & 1 as bigint))) as j from lens),
+ordered as (select {lead}now, n, size, sum(size) over ({part}order by lvl, j rows between unbounded preceding and current row) - size as newer from sizes),
+dgim as (select {"o." + by + ", " if by else ""}o.size as bucket_size, r.pos as bucket_end, o.now as "current_time" from ordered o
+  join run r on r.bit = 1 and r.ones = o.n - o.newer {link} where r.pos > o.now - {window})"""
+
+
+DGIM = _running() + _dgim(1000)
+EVENT_DGIM = """
+run as materialized (select user_id, event_id, row_number() over w as pos, cast(value > 50 as bigint) as bit,
+  cast(sum(cast(value > 50 as bigint)) over w as bigint) as ones from events window w as (partition by user_id order by event_id))""" + _dgim(20, "user_id")
 
 # -- cascades ---------------------------------------------------------------------------
 
@@ -633,6 +644,8 @@ SQL: dict[str, str] = {
     "replay_stream": "select event_id, user_id, event_type from events",
     "stream_dedupe": "select distinct user_id, event_type from events",
     "stream_distinct": _fm("cast(user_id as varchar)", "events"),
+    "stream_dgim": "with " + EVENT_DGIM + """ select user_id, cast(20 as bigint) as window_size, max("current_time") as "current_time", count(*) as num_buckets,
+        cast(sum(bucket_size) - floor(max(bucket_size) / 2) as bigint) as estimated_count from dgim group by user_id""",
     "stream_reservoir": "select event_id, user_id from events order by md5('0|' || event_id), event_id limit 100",
     "graph_upsert_nodes": f"""select node_id, max_by(event_type, event_id) as last_type,
         max_by(value, event_id) filter (value > 100) as last_large from ({EVENT_NODES}) group by node_id""",

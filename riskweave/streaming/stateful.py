@@ -2,18 +2,49 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from riskweave.functions.columns import col_of
 from riskweave.functions.hashing import base31, coefficients, linear_hash, order_key
-from riskweave.operators.sketches import FM_HASHES, RESERVOIR, WINDOW, fm_estimate, trailing_zeros
-from riskweave.streaming.upsert import _drop_older, _version, latest_version
+from riskweave.operators.sketches import (
+    FM_HASHES, RESERVOIR, WINDOW, bucket_starts, fm_estimate, running_counts, trailing_zeros,
+)
+from riskweave.sources.writers import child_names
+
+
+def version(batch_id: int) -> str:
+    return f"v={batch_id:012d}"
+
+
+def latest_version(spark: SparkSession, directory: str, before: int | None = None) -> str | None:
+    """Path of the newest complete state, of a batch below ``before`` when given.
+
+    A state is written from an earlier one under its own number, so a batch that runs again
+    after a failure gives the same state.
+    """
+    names = sorted(n for n in child_names(spark, directory) if n.startswith("v="))
+    for name in reversed(names):
+        if (before is None or name < version(before)) and "_SUCCESS" in child_names(spark, f"{directory}/{name}"):
+            return f"{directory}/{name}"
+    return None
+
+
+def drop_older(spark: SparkSession, directory: str, batch_id: int, keep: int = 2) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(directory).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in child_names(spark, directory):
+        if name.startswith("v=") and name <= version(batch_id - keep):
+            fs.delete(path(f"{directory}/{name}"), True)
+
+
+def _start(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, once: bool) -> StreamingQuery:
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")
+    return writer.start()
 
 
 def stream_dedupe(
@@ -29,60 +60,62 @@ def stream_dedupe(
     return timed.dropDuplicatesWithinWatermark(list(keys))
 
 
-def add_one(buckets: list[tuple[int, int]], position: int) -> list[tuple[int, int]]:
-    """Add a one to a newest-first bucket list and merge until no size has three buckets."""
-    buckets = [(1, position), *buckets]
-    i = 0
-    while i + 2 < len(buckets) and buckets[i][0] == buckets[i + 2][0]:
-        size, newest = buckets[i + 1]
-        buckets[i + 1:i + 3] = [(size * 2, newest)]
-        i += 1
-    return buckets
-
-
-def _dgim_handler(window: int):
-    def handle(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            now, sizes, ends, last = state.get
-            buckets = list(zip(sizes, ends))
-        else:
-            now, buckets, last = 0, [], -1
-        rows = pd.concat(list(batches), ignore_index=True).sort_values("seq", kind="stable")
-        for bit in rows["bit"]:
-            now += 1
-            if bit == 1:
-                buckets = add_one(buckets, now)
-            while buckets and buckets[-1][1] <= now - window:
-                buckets.pop()
-        if len(rows):
-            last = max(last, int(rows["seq"].iloc[-1]))
-        state.update((now, [int(s) for s, _ in buckets], [int(e) for _, e in buckets], last))
-        total = sum(s for s, _ in buckets)
-        yield pd.DataFrame({
-            "shard": [key[0]], "window_size": [window], "current_time": [now],
-            "num_buckets": [len(buckets)],
-            "estimated_count": [total - buckets[-1][0] // 2 if buckets else 0]})
-
-    return handle
-
-
-def stream_dgim(
-    stream: DataFrame, bit: Column | str, seq: str, shard: Column | str, window: int = WINDOW,
+def add_dgim_batch(
+    state: DataFrame | None, batch: DataFrame, bit: Column | str, seq: str, by: Sequence[str],
+    window: int = WINDOW, span: int = 1_000_000,
 ) -> DataFrame:
-    """Approximate ones among the last ``window`` items of every shard, per micro-batch.
+    """Bucket state after one more batch, whose items follow all earlier ones.
 
-    State is one bucket list per shard, O(log) in the ones seen. Rows of a batch are put in
-    ``seq`` order in the handler; a shard is a source of its own sequence, so choose it fine
-    enough that no shard carries the whole stream.
+    State rows are (shard, current_time, total_ones, bucket_size, ones, bucket_end): one per
+    bucket, or one without a bucket. Merging keeps the newer end of two buckets, so every new
+    bucket ends at an old end or at a one of the batch. The batch is numbered in chunks and
+    joined with the few ends; no shard is replayed in one task.
     """
-    rows = stream.select(
-        col_of(shard).cast("string").alias("shard"), F.col(seq).cast("bigint").alias("seq"),
-        col_of(bit).cast("int").alias("bit"))
-    return rows.groupBy("shard").applyInPandasWithState(
-        _dgim_handler(window),
-        "shard string, window_size bigint, current_time bigint, num_buckets bigint, estimated_count bigint",
-        "now bigint, sizes array<bigint>, ends array<bigint>, last bigint",
-        "update", GroupStateTimeout.NoTimeout)
+    by = list(by)
+    counted = running_counts(batch, bit, seq, by, span).select(*by, "pos", "ones", F.col("_bit").alias("bit"))
+    added = counted.groupBy(*by).agg(F.max("pos").alias("current_time"), F.max("ones").alias("total_ones"))
+    fresh = counted.where("bit = 1").select(*by, "ones", F.col("pos").alias("bucket_end"))
+    if state is None:
+        totals, ends = added, fresh
+    else:
+        past = state.groupBy(*by).agg(
+            F.max("current_time").alias("_now"), F.max("total_ones").alias("_n"))
+        moved = fresh.join(past, by, "left").select(
+            *by, (F.col("ones") + F.coalesce("_n", F.lit(0))).alias("ones"),
+            (F.col("bucket_end") + F.coalesce("_now", F.lit(0))).alias("bucket_end"))
+        ends = moved.unionByName(state.where("ones is not null").select(*by, "ones", "bucket_end"))
+        totals = added.unionByName(past.select(
+            *by, F.col("_now").alias("current_time"), F.col("_n").alias("total_ones"))
+        ).groupBy(*by).agg(F.sum("current_time").alias("current_time"), F.sum("total_ones").alias("total_ones"))
+    buckets = ends.join(bucket_starts(totals, by), [*by, "ones"])
+    alive = totals.join(buckets, by).where(F.col("bucket_end") > F.col("current_time") - F.lit(window))
+    return totals.join(
+        alive.select(*by, "bucket_size", "ones", "bucket_end"), by, "left")
+
+
+def run_stream_dgim(
+    stream: DataFrame, bit: Column | str, seq: str, by: Sequence[str], state_dir: str, checkpoint: str,
+    window: int = WINDOW, span: int = 1_000_000, once: bool = True,
+) -> StreamingQuery:
+    """Approximate ones among the last ``window`` items of every shard.
+
+    Items count in order of arrival: by batch, and by ``seq`` inside one.
+    """
+    spark: SparkSession = stream.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        before = latest_version(spark, state_dir, batch_id)
+        state = spark.read.parquet(before) if before else None
+        add_dgim_batch(state, batch, bit, seq, by, window, span).write.mode("overwrite").parquet(
+            f"{state_dir}/{version(batch_id)}")
+        drop_older(spark, state_dir, batch_id)
+
+    return _start(stream, write, checkpoint, once)
+
+
+def stream_dgim_state(spark: SparkSession, state_dir: str) -> DataFrame:
+    """Newest bucket state; ``dgim_stats`` of its rows with a bucket gives the estimates."""
+    return spark.read.parquet(latest_version(spark, state_dir))
 
 
 def stream_distinct(stream: DataFrame, col: str, h: int = FM_HASHES, kind: str = "xx", seed: int = 0) -> DataFrame:
@@ -112,9 +145,7 @@ def run_stream_reservoir(
     def write(batch: DataFrame, batch_id: int) -> None:
         before = latest_version(spark, state_dir, batch_id)
         rows = batch.unionByName(spark.read.schema(batch.schema).parquet(before)) if before else batch
-        rows.orderBy(order_key(seed, *ids), *ids).limit(k).write.mode("overwrite").parquet(f"{state_dir}/{_version(batch_id)}")
-        _drop_older(spark, state_dir, batch_id)
+        rows.orderBy(order_key(seed, *ids), *ids).limit(k).write.mode("overwrite").parquet(f"{state_dir}/{version(batch_id)}")
+        drop_older(spark, state_dir, batch_id)
 
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")
-    return writer.start()
+    return _start(stream, write, checkpoint, once)

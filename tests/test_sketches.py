@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskweave.operators import sketches as K
-from riskweave.streaming.stateful import add_one
 
 
 def keys(spark, n):
@@ -40,8 +39,9 @@ def test_bloom_statistics(spark):
 
 def test_duplicates_are_exact(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3), ("a", 4), (None, 5)], "key string, seq long")
-    flags = {r["seq"]: r["is_duplicate"] for r in K.bloom_dedupe(df, "key", "seq").collect()}
-    assert flags == {1: False, 2: False, 3: True, 4: True, 5: False}
+    for size in (1, 1000):
+        flags = {r["seq"]: r["is_duplicate"] for r in K.bloom_dedupe(df, "key", "seq", size).collect()}
+        assert flags == {1: False, 2: False, 3: True, 4: True, 5: False}
 
 
 def stream(spark, n=400, seed=5):
@@ -63,6 +63,17 @@ def test_trailing_ones_matches_brute_force(spark, span):
             assert by[s] == sum(b for _, b in own[max(0, i - 19):i + 1])
 
 
+def add_one(buckets, position):
+    """Put a one in front of a newest-first list and merge while a size has three buckets."""
+    buckets = [(1, position), *buckets]
+    i = 0
+    while i + 2 < len(buckets) and buckets[i][0] == buckets[i + 2][0]:
+        size, newest = buckets[i + 1]
+        buckets[i + 1:i + 3] = [(size * 2, newest)]
+        i += 1
+    return buckets
+
+
 def sequential_dgim(bits, window):
     """Bucket list by replaying the stream; expired buckets are dropped at the end."""
     buckets, now = [], 0

@@ -74,12 +74,20 @@ def test_node_upsert_stream(spark, tmp_path):
     state, ck = f"{tmp_path}/state", f"{tmp_path}/ck"
     stream = readers.replay_stream(spark, df, f"{tmp_path}/in", 4, "seq")
     upsert.run_node_upsert(stream, state, ck, "seq").awaitTermination()
-    assert values(upsert.state_values(spark.read.parquet(upsert.latest_version(spark, state)), ["node_id"])) == expected(data)
-    before = upsert.latest_version(spark, state)
+    assert values(upsert.state_values(upsert.read_state(spark, state, ["node_id"]), ["node_id"])) == expected(data)
+    before = upsert.child_names(spark, state)
     upsert.run_node_upsert(stream, state, ck, "seq").awaitTermination()
-    assert upsert.latest_version(spark, state) == before
-    kept = [n for n in upsert.child_names(spark, state) if n.startswith("v=")]
-    assert len(kept) <= 2
+    assert upsert.child_names(spark, state) == before
+
+
+def test_batches_are_merged_and_repeats_replace_themselves(spark, tmp_path):
+    data, folder = rows(200), f"{tmp_path}/state"
+    for i in [0, 1, 2, 2, 3, 4, 5, 5, 6]:
+        upsert.apply_batch(spark, spark.createDataFrame(data[i::7], SCHEMA), i, folder, ["node_id"], "seq", merge_every=2)
+        part = [r for j in range(i + 1) for r in data[j::7]]
+        assert values(upsert.state_values(upsert.read_state(spark, folder, ["node_id"]), ["node_id"])) == expected(part)
+    names = sorted(n for n in upsert.child_names(spark, folder))
+    assert names == ["batch=000000000004", "batch=000000000005", "batch=000000000006", "merged=000000000003", "merged=000000000005"]
 
 
 def test_edge_upsert_creates_end_nodes(spark, tmp_path):
@@ -88,7 +96,7 @@ def test_edge_upsert_creates_end_nodes(spark, tmp_path):
         "seq long, source_id string, target_id string, relationship_type string, weight double")
     stream = readers.replay_stream(spark, edges, f"{tmp_path}/in", 2, "seq")
     upsert.run_edge_upsert(stream, f"{tmp_path}/e", f"{tmp_path}/n", f"{tmp_path}/ck", "seq").awaitTermination()
-    out = upsert.state_values(spark.read.parquet(upsert.latest_version(spark, f"{tmp_path}/e")), upsert.EDGE_KEY)
+    out = upsert.state_values(upsert.read_state(spark, f"{tmp_path}/e", upsert.EDGE_KEY), upsert.EDGE_KEY)
     assert sorted(tuple(r) for r in out.collect()) == [("a", "b", "REPO_LOAN", 2.0), ("b", "c", "REL", None)]
     nodes = spark.createDataFrame([(1, "a", "Bank A")], "seq long, node_id string, name string")
     known = readers.replay_stream(spark, nodes, f"{tmp_path}/nin", 1, "seq")
@@ -113,20 +121,20 @@ def test_dedupe_with_and_without_watermark(spark, tmp_path):
         assert sorted(r["k"] for r in spark.read.parquet(f"{tmp_path}/o{i}").collect()) == list(range(13))
 
 
-def test_stream_dgim_tracks_the_exact_count(spark, tmp_path):
+def test_stream_dgim_equals_the_batch_state(spark, tmp_path):
     rng = random.Random(1)
-    data = [(i, rng.choice("ab"), int(rng.random() < 0.7)) for i in range(600)]
+    data = [(i, rng.choice("aab"), int(rng.random() < 0.7)) for i in range(600)] + [(600, "late", 0)]
     df = spark.createDataFrame(data, "seq long, shard string, bit int")
-    stream = readers.replay_stream(spark, df, f"{tmp_path}/in", 3, "seq")
-    finish(stateful.stream_dgim(stream, "bit", "seq", "shard", 64), f"{tmp_path}/out", f"{tmp_path}/ck", "update")
-    last = {}
-    for r in spark.read.parquet(f"{tmp_path}/out").orderBy("batch").collect():
-        last[r["shard"]] = r
-    for shard in "ab":
-        own = [b for _, k, b in data if k == shard]
-        truth = sum(own[-64:])
-        assert last[shard]["current_time"] == len(own)
-        assert abs(last[shard]["estimated_count"] - truth) <= truth / 2
+    stream = readers.replay_stream(spark, df, f"{tmp_path}/in", 4, "seq")
+    stateful.run_stream_dgim(stream, "bit", "seq", ["shard"], f"{tmp_path}/s", f"{tmp_path}/ck", 64, span=40).awaitTermination()
+    state = stateful.stream_dgim_state(spark, f"{tmp_path}/s")
+    cols = ["shard", "bucket_size", "bucket_end", "current_time"]
+    batch = sketches.dgim(df, "bit", "seq", 64, ["shard"])
+    assert sorted(state.where("ones is not null").select(*cols).collect()) == sorted(batch.select(*cols).collect())
+    assert state.where("shard = 'late'").first()["total_ones"] == 0
+    for r in sketches.dgim_stats(batch, 64, ["shard"]).collect():
+        truth = sum([b for _, k, b in data if k == r["shard"]][-64:])
+        assert abs(r["estimated_count"] - truth) <= truth / 2
 
 
 def test_stream_distinct_and_reservoir_equal_the_batch(spark, tmp_path):
@@ -138,7 +146,7 @@ def test_stream_distinct_and_reservoir_equal_the_batch(spark, tmp_path):
     assert last["max_trailing_zeros"] == batch["max_trailing_zeros"]
     assert abs(last["approx_distinct"] - 90) < 10
     stateful.run_stream_reservoir(stream, ["seq"], f"{tmp_path}/r", f"{tmp_path}/rck", k=20, seed=3).awaitTermination()
-    kept = spark.read.parquet(upsert.latest_version(spark, f"{tmp_path}/r"))
+    kept = spark.read.parquet(stateful.latest_version(spark, f"{tmp_path}/r"))
     assert {r["seq"] for r in kept.collect()} == {r["seq"] for r in sketches.reservoir(df, ["seq"], 20, 3).collect()}
 
 
