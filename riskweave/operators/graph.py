@@ -194,11 +194,13 @@ def pagerank(
     split = (base.agg(F.max("parts")).first()[0] or 0) > 1
     key = ["src", "part"] if split else ["src"]
     # Placed and sorted once by the join key; rounds then move only ranks and partial sums.
+    # The count fills the cache, so that planning of the rounds sees its placement.
     shares = sized_join(g.links, out, ["src"], rows_per_split).select(
         "src", "dst", (F.col("m") / F.col("out_edges")).alias("share"),
         *([part_of(parts, F.col("dst")).alias("part")] if split else []))
     width = int(shares.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = shares.repartition(width, *key).sortWithinPartitions(*key).persist()
+    shares.count()
 
     start = (1.0 - damping) / g.n
     ranks = base.withColumn("rank", F.lit(1.0 / g.n))

@@ -651,6 +651,7 @@ SQL: dict[str, str] = {
         max_by(value, event_id) filter (value > 100) as last_large from ({EVENT_NODES}) group by node_id""",
     "graph_upsert_edges": tx("""select source_id, target_id, upper(relationship_type) as relationship_type, max_by(weight, seq) as weight
         from tx group by 1, 2, 3"""),
+    "graph_upsert_files": nodes("select * from nodes"),
     "graph_round_trip": graph("select * from edges"),
     "uniform_draws": f"select c_custkey, round({_draw('7', 'c_custkey')}, 9) as draw from customer",
 }
