@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import pii, secrets, tokens
+from riskweave.llm import pii, quality, secrets, tokens
 from riskweave.llm.common import documents
 
 
@@ -22,6 +22,10 @@ def _span_report(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_listed(_of(F.col("spans"), kinds)), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir)).select("doc_id", *quality.MEASURES, "base_failed", "kept")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(documents(spark, sf_dir))
 
@@ -39,9 +43,12 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_quality_rules": op4_quality_rules,
     "op6_token_counts": op6_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
     "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_quality_rules": quality.VERDICT_SQL.format(documents="documents"),
+}
