@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import pii, quality, secrets, tokens
+from riskweave.llm import pii, quality, secrets, tokens, toxicity
 from riskweave.llm.common import documents
 
 
@@ -22,6 +22,15 @@ def _span_report(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_listed(_of(F.col("spans"), kinds)), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of the ids, told by their checksum, teaches nothing."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").where(~held_out)
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir)).select("doc_id", *quality.MEASURES, "base_failed", "kept")
 
@@ -43,6 +52,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op6_token_counts": op6_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
