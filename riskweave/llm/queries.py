@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import pii, quality, secrets, tokens, toxicity
+from riskweave.llm import pii, quality, secrets, substrings, tokens, toxicity
 from riskweave.llm.common import documents
 
 
@@ -22,6 +22,10 @@ def _span_report(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_listed(_of(F.col("spans"), kinds)), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_report(documents(spark, sf_dir))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fifth of the ids, told by their checksum, teaches nothing."""
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
@@ -52,6 +56,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op6_token_counts": op6_token_counts,
