@@ -58,8 +58,12 @@ class Parser:
         self.hashes = []
         for base in (0x9E3779B97F4A7C13, 0xC2B2AE3D27D4EB4B):
             symbol = draw.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-            up, down = (np.cumprod(np.concatenate([[1], np.full(size - 1, b, np.uint64)]).astype(np.uint64), dtype=np.uint64) for b in (base, pow(base, -1, 1 << 64)))
-            self.hashes.append((symbol, up, down))
+            powers = []
+            for b in (base, pow(base, -1, 1 << 64)):
+                factors = np.full(size, b, np.uint64)
+                factors[0] = 1
+                powers.append(np.cumprod(factors, dtype=np.uint64))
+            self.hashes.append((symbol, *powers))
 
     def sums(self, data: np.ndarray) -> list[np.ndarray]:
         return [np.concatenate([np.zeros(1, np.uint64), np.cumsum(symbol[data] * up[:len(data)], dtype=np.uint64)]) for symbol, up, _ in self.hashes]
@@ -226,8 +230,10 @@ def _ordered(gathered: DataFrame, parser_of) -> DataFrame:
         repeated = np.empty(len(order), bool)
         repeated[order] = weight[which] >= 2
         repeated &= ~twice[owner]
+        bounds = np.searchsorted(owner, np.arange(len(rows) + 1))
         for i in np.unique(owner[repeated]):
-            first, last = _runs(place[repeated & (owner == i)] if len(rows) < 50 else place[(lambda lo, hi: np.arange(lo, hi)[repeated[lo:hi]])(*np.searchsorted(owner, [i, i + 1]))])
+            mine = slice(bounds[i], bounds[i + 1])
+            first, last = _runs(place[mine][repeated[mine]])
             k1, k2, start = rows[i][:3]
             spans += [(k1, k2, start + int(f), start + int(x) + parser.length) for f, x in zip(first, last)]
         return spans
