@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import pii, quality, secrets, substrings, tokens, toxicity
+from riskweave.llm import jaccard, pii, quality, secrets, substrings, tokens, toxicity
 from riskweave.llm.common import documents
 
 
@@ -47,6 +47,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(documents(spark, sf_dir))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_report(secrets.find_secrets(documents(spark, sf_dir)), secrets.BASE_KINDS)
 
@@ -61,6 +65,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op6_token_counts": op6_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
 }

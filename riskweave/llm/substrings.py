@@ -14,7 +14,7 @@ by 128-bit fingerprints of that many bytes instead of letter by letter; together
 occurrences in the parse, neighbours in this order tell which strings start in two places.
 
 *Hot keys.* Occurrences are counted with map-side sums. Phrases that hold a large share of the parse
-(there can only be ``HOT_SHARE`` of them) are joined by broadcast. A trigger with more than
+(few can, see ``skewed``) are joined by broadcast. A trigger with more than
 ``GROUP`` distinct phrases is not gathered: its strings are counted by fingerprint over all tasks.
 
 Null texts are empty and lose nothing; texts under ``length`` bytes neither. Equal rows are separate
@@ -33,13 +33,12 @@ from pyspark.sql import functions as F
 
 from riskweave.llm.common import SLICE, arrow_schema, id_text
 from riskweave.llm.keybits import key_bits, may_hold
+from riskweave.llm.skewed import share_join
 from riskweave.session import materialize
 
 LENGTH, TRIGGER = 200, 64
 #: Positions of a text that are parsed at a time.
 SEGMENT = 1 << 19
-#: At most so many phrases count as hot.
-HOT_SHARE = 500
 #: Distinct phrases of one trigger that a task compares by itself.
 GROUP = 2_000
 
@@ -282,17 +281,6 @@ def _counted(gathered: DataFrame, parser_of) -> DataFrame:
     return share_join(strings.where("not twice"), repeated, ["h1", "h2"]).selectExpr("k1", "k2", "start", f"start + {parser_of.length} as stop")
 
 
-def share_join(many: DataFrame, counted: DataFrame, keys: list[str]) -> DataFrame:
-    """Semi-join of rows with counted keys (``c``): the heaviest keys by broadcast, the rest by shuffle.
-
-    A key is heavy above 1/``HOT_SHARE`` of all counted rows, so there are at most that many.
-    """
-    total = counted.agg(F.sum("c")).first()[0] or 0
-    limit = max(1000, total // HOT_SHARE)
-    heavy = F.broadcast(counted.where(F.col("c") > limit).select(*keys).limit(HOT_SHARE))
-    return many.join(heavy, keys, "left_semi").unionByName(many.join(heavy, keys, "left_anti").join(counted.where(F.col("c") <= limit).select(*keys), keys, "left_semi"))
-
-
 class _ParserOf:
     """Builds the parser in a task; its settings travel with the function."""
 

@@ -1,0 +1,130 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from riskweave.llm import jaccard
+from riskweave.llm.queries import QUERIES
+from riskweave.llm.skewed import components
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_set(text, words=4):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    return {tuple(w)} if 0 < len(w) < words else {tuple(w[i:i + words]) for i in range(len(w) - words + 1)}
+
+
+def plain(rows, words=4, percent=85):
+    """Components over all pairs that share a shingle."""
+    sets = {i: plain_set(t, words) for i, t in rows if i is not None}
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    holders = {}
+    for i, s in sets.items():
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    tried = set()
+    for ids in holders.values():
+        for a in range(len(ids)):
+            for b in range(a):
+                pair = (ids[b], ids[a])
+                if pair not in tried and root(pair[0]) != root(pair[1]):
+                    tried.add(pair)
+                    x, y = sets[pair[0]], sets[pair[1]]
+                    if 100 * len(x & y) >= percent * len(x | y):
+                        one, two = sorted(map(root, pair))
+                        parent[two] = one
+    return sorted(((-1 if i is None else i), len(plain_set(t, words)), (-1 if i is None else root(i))) for i, t in rows)
+
+
+def joined(spark, rows, **settings):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("text", "doc_id", "1 as token", "2 as n", "3 as root")
+    got = jaccard.jaccard_components(docs, **settings).collect()
+    return sorted((-1 if r.doc_id is None else r.doc_id, r.n_shingles, -1 if r.component_id is None else r.component_id) for r in got)
+
+
+def family(draw, base, n, edits, first):
+    rows = []
+    for i in range(n):
+        copy = list(base)
+        for _ in range(draw.randint(0, edits)):
+            copy[draw.randrange(len(copy))] = f"e{draw.randrange(40)}"
+        rows.append((first + i, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [2_000, 7])
+def test_components_equal_all_pairs(spark, block):
+    draw = random.Random(block)
+    vocabulary = [f"w{i}" for i in range(60)]
+    rows = []
+    for f in range(8):
+        base = [draw.choice(vocabulary) for _ in range(draw.choice([5, 12, 40, 120]))]
+        rows += family(draw, base, 40, 4, 100 * f)
+    passage = " ".join(draw.choice(vocabulary) for _ in range(30))
+    rows += [(2000 + i, " ".join(f"u{i}x{k}" for k in range(30)) + " " + passage) for i in range(40)]
+    rows += [(3000, None), (3001, ""), (3002, " \n\t"), (3003, "one two"), (3004, "One  TWO"), (3005, "É two three four"), (3006, "é two three four"), (None, rows[0][1]), (3007, rows[0][1]), (3007, rows[0][1]), (3008, "w " * 60_000)]
+    draw.shuffle(rows)
+    assert joined(spark, rows, block=block) == plain(rows)
+
+
+def test_other_sizes_and_thresholds(spark):
+    draw = random.Random(5)
+    rows = family(draw, [f"w{draw.randrange(30)}" for _ in range(60)], 60, 8, 0) + family(draw, [f"w{draw.randrange(30)}" for _ in range(25)], 60, 5, 100)
+    assert joined(spark, rows, words=2, percent=60) == plain(rows, 2, 60)
+
+
+def test_walk_finds_exactly_the_linked_sets():
+    draw = np.random.default_rng(2)
+    for _ in range(60):
+        base = draw.integers(0, 400, 60)
+        sets = [np.unique(np.concatenate([draw.choice(base, 50), draw.integers(0, 400, draw.integers(0, 12))]).astype(np.uint64)) for _ in range(30)]
+        tree = jaccard.PrefixTree(sets)
+        for percent in (50, 70, 85):
+            probe = sets[0]
+            want = {i for i, s in enumerate(sets) if 100 * len(np.intersect1d(probe, s)) >= percent * len(np.union1d(probe, s))}
+            assert set(tree.walk(probe, np.arange(30), percent, lambda m: np.ones(len(m), bool))) == want
+
+
+def test_sketches_never_overstate():
+    draw = np.random.default_rng(3)
+    for _ in range(200):
+        x, y = (np.unique(draw.integers(0, 1 << 63, draw.integers(1, 900), dtype=np.uint64)) for _ in "xy")
+        y = np.unique(np.concatenate([x[: len(x) // 2], y]))
+        a, b = jaccard.sketch(x), jaccard.sketch(y)
+        size = min(len(a), len(b))
+        assert np.bitwise_count(jaccard.folded(a, size) ^ jaccard.folded(b, size)).sum() <= len(np.setxor1d(x, y))
+
+
+def test_components_of_graphs(spark):
+    draw = random.Random(8)
+    edges = [(draw.randrange(300), draw.randrange(300)) for _ in range(160)] + [(1000, 1000 + i) for i in range(1, 60)] + [(i, i + 1) for i in range(2000, 2060)]
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        one, two = sorted((root(a), root(b)))
+        parent[two] = one
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {x: got.get(x, x) for x in parent} == {x: root(x) for x in parent}
+
+
+def test_query_and_empty_table(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    got = sorted(tuple(r) for r in QUERIES["op8_ngram_jaccard"](spark, sf).collect())
+    assert got == plain([tuple(r) for r in docs.collect()])
+    assert jaccard.jaccard_components(docs.where("false")).collect() == []
