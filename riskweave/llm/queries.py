@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import jaccard, pii, quality, secrets, substrings, tokens, toxicity
+from riskweave.llm import decontam, jaccard, pii, quality, secrets, substrings, tokens, toxicity
 from riskweave.llm.common import documents
 
 
@@ -26,6 +26,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_report(documents(spark, sf_dir))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fifth of the ids, told by their checksum, teaches nothing."""
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
@@ -61,6 +65,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_decontaminate": op2_decontaminate,
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op6_token_counts": op6_token_counts,
@@ -70,5 +75,6 @@ QUERIES = {
     "op10_personal_data": op10_personal_data,
 }
 SQL: dict[str, str] = {
+    "op2_decontaminate": decontam.CONTAMINATED_SQL.replace("DOCUMENTS_TABLE", "documents"),
     "op4_quality_rules": quality.VERDICT_SQL.format(documents="documents"),
 }
