@@ -74,11 +74,11 @@ def templates(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return split.withColumn("tokens", template_tokens("words"))
 
 
-def _windows(rows: DataFrame, width: int | Column) -> DataFrame:
+def _windows(rows: DataFrame, width: int) -> DataFrame:
     """``id, at, hash`` of every window; ``rows`` has ``id, tokens``."""
-    width = F.lit(width) if isinstance(width, int) else width
-    starts = F.sequence(F.lit(1), F.size("tokens") - width + 1)
-    hashes = F.when(F.size("tokens") >= width, F.transform(starts, lambda i: F.xxhash64(F.slice("tokens", i, width))))
+    starts = F.sequence(F.lit(0), F.size("tokens") - width)
+    # one access per token: slice() would copy the whole array for every window
+    hashes = F.when(F.size("tokens") >= width, F.transform(starts, lambda i: F.xxhash64(*[F.get("tokens", i + k) for k in range(width)])))
     return rows.select("id", F.posexplode(hashes).alias("at", "hash"))
 
 
@@ -139,32 +139,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_matched", F.col("of").alias("n_windows"), "n_slots", "n_changed")
 
 
-def _sql_tokens(words: str) -> str:
-    core = f"trim({words}[i], e.edges)"
-    first = f"{core}[1]"
-    before = f"CASE WHEN i = 1 THEN '.' ELSE {words}[i - 1] END"
+def _sql_windows(table: str, key: str) -> str:
+    """SQL for all windows of a table: its key, place, words and template."""
+    core, before = "trim(word, edges)", "trim(before, edges)"
     units = "(" + ", ".join(f"'{u}'" for u in UNITS) + ")"
     ends = "(" + ", ".join(f"'{x}'" for x in ENDS) + ")"
-    return (
-        f"list_transform(range(1, len({words}) + 1), lambda i: CASE WHEN lower({first}) <> {first} AND ({before})[-1] NOT IN {ends} THEN '{NAME}' "
-        f"WHEN regexp_matches({first}, '^[a-z]$') AND lower({core}) NOT IN {units} THEN lower({core}) "
+    token = (
+        f"CASE WHEN lower({core}[1]) <> {core}[1] AND before[-1] NOT IN {ends} THEN '{NAME}' "
+        f"WHEN regexp_matches({core}[1], '^[a-z]$') AND lower({core}) NOT IN {units} THEN lower({core}) "
         f"WHEN regexp_matches({core}, '{NUMBER}') THEN '{NUM}' "
-        f"WHEN lower({core}) IN {units} AND regexp_matches(trim({before}, e.edges), '{NUMBER}') THEN '{UNIT}' ELSE lower({core}) END)")
+        f"WHEN lower({core}) IN {units} AND regexp_matches({before}, '{NUMBER}') THEN '{UNIT}' ELSE lower({core}) END")
+    return rf"""
+SELECT * FROM (
+  SELECT {key}, place, list(word) OVER seen AS w, list(token) OVER seen AS t FROM (
+    SELECT *, {token} AS token FROM (
+      SELECT *, lag(word, 1, '.') OVER (PARTITION BY row_no ORDER BY place) AS before FROM (
+        SELECT row_no, {key}, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM (
+          SELECT row_number() OVER () AS row_no, {key}, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM {table}))), e)
+  WINDOW seen AS (PARTITION BY row_no ORDER BY place ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING))
+WHERE len(t) = {WINDOW}"""
 
 
 #: The pairs of ``contaminated`` in DuckDB SQL over DOCUMENTS_TABLE, for items of WINDOW words and more.
 CONTAMINATED_SQL = rf"""
 WITH e AS (SELECT '{EDGES.replace("'", "''")}' AS edges),
-dw AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM DOCUMENTS_TABLE),
-bw AS (SELECT item_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM benchmark),
-dt AS (SELECT doc_id, words, {_sql_tokens("words")} AS tokens FROM dw, e),
-bt AS (SELECT item_id, words, {_sql_tokens("words")} AS tokens FROM bw, e),
-bp AS (SELECT item_id, words, tokens, unnest(range(1, len(tokens) - {WINDOW - 2})) AS place FROM bt),
-b AS (SELECT item_id, place, words[place:place + {WINDOW - 1}] AS w, tokens[place:place + {WINDOW - 1}] AS t FROM bp
-      WHERE len(list_filter(tokens[place:place + {WINDOW - 1}], lambda x: x NOT IN ('{NUM}', '{UNIT}', '{NAME}'))) >= {LITERALS}),
-bo AS (SELECT *, count(*) OVER (PARTITION BY item_id) AS total FROM b),
-dp AS (SELECT doc_id, words, tokens, unnest(range(1, len(tokens) - {WINDOW - 2})) AS place FROM dt),
-d AS (SELECT doc_id, place, words[place:place + {WINDOW - 1}] AS w, tokens[place:place + {WINDOW - 1}] AS t FROM dp),
+b AS ({_sql_windows("benchmark", "item_id")}
+      AND len(list_filter(t, lambda x: x NOT IN ('{NUM}', '{UNIT}', '{NAME}'))) >= {LITERALS}),
+bo AS (SELECT item_id, place, w, t, count(*) OVER (PARTITION BY item_id) AS total FROM b),
+d AS ({_sql_windows("DOCUMENTS_TABLE", "doc_id")}),
 m AS (SELECT d.doc_id, d.w AS dw, bo.w AS bw, bo.t, bo.item_id, bo.place AS item_place, d.place - bo.place AS diagonal, bo.total FROM d JOIN bo ON d.t = bo.t),
 s AS (SELECT doc_id, item_id, diagonal, t[k] AS kind, lower(trim(bw[k], edges)) AS value, lower(trim(dw[k], edges)) AS met
       FROM (SELECT *, unnest(range(1, {WINDOW + 1})) AS k FROM m), e WHERE t[k] IN ('{NUM}', '{UNIT}', '{NAME}')),
