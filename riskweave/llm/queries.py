@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import decontam, jaccard, pii, quality, secrets, substrings, tokens, toxicity
+from riskweave.llm import decontam, jaccard, licenses, pii, quality, secrets, substrings, tokens, toxicity
 from riskweave.llm.common import documents
 
 
@@ -43,6 +43,19 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir)).select("doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents table has no paths: source, language and thousands of the id serve as directories.
+
+    A document of at most 12 words with a licence cue stands for a licence file of its directory.
+    """
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", "source")
+    notice = (F.size(F.split("text", r"[\x20\x09-\x0D]+", 14)) <= 12) & F.col("text").rlike(licenses.CUE)
+    name = F.concat(F.when(notice, F.lit("LICENSE-")).otherwise(F.lit("doc-")), F.col("doc_id").cast("string"))
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"), name)
+    found = licenses.scan(docs.select(F.col("doc_id").alias("file"), path.alias("path"), "text"))
+    return found.withColumnRenamed("file", "doc_id")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(documents(spark, sf_dir))
 
@@ -68,6 +81,7 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
+    "op5_license_scan": op5_license_scan,
     "op6_token_counts": op6_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_ngram_jaccard": op8_ngram_jaccard,
@@ -75,6 +89,10 @@ QUERIES = {
     "op10_personal_data": op10_personal_data,
 }
 SQL: dict[str, str] = {
+    "op5_license_scan": licenses.SCAN_SQL.replace("FILES_TABLE", rf"""(
+        SELECT doc_id AS file, text, concat_ws('/', source, lang, (doc_id // 1000)::VARCHAR,
+          CASE WHEN len(string_split_regex(text, '[\x20\x09-\x0D]+')) <= 12 AND regexp_matches(text, '{licenses.CUE}') THEN 'LICENSE-' ELSE 'doc-' END || doc_id::VARCHAR) AS path
+        FROM documents)""").replace("SELECT file, coalesce(license, their", "SELECT file AS doc_id, coalesce(license, their"),
     "op2_decontaminate": decontam.CONTAMINATED_SQL.replace("DOCUMENTS_TABLE", "documents"),
     "op4_quality_rules": quality.VERDICT_SQL.format(documents="documents"),
 }

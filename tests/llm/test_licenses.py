@@ -1,0 +1,42 @@
+from __future__ import annotations
+
+import pytest
+from compare import compare, connect, rows_of
+
+from riskweave.llm import licenses
+from riskweave.llm.queries import QUERIES, SQL
+
+ROWS = [
+    (1, "a/b/x.py", "# Licensed under the Apache License, Version 2.0.\ncode"), (2, "a/b/y.py", "code"), (3, "a/b/c/d/z.py", None), (4, "a/LICENSE", "Released under the MIT License."),
+    (5, "a/q.py", "nothing"), (6, "z.py", "top"), (7, None, "All rights reserved."), (8, "a/b/c/COPYING.txt", "This work is licensed under the GNU General Public License, version 3."),
+    (9, "a/b/c/d/w.py", ""), (10, "e/f.py", "the license to drive a car in the old town was lost by many people who walked"), (11, "e/f.py", "Licensed under CC BY-NC 4.0.\n" * 3),
+    (11, "e/f.py", "Licensed under CC BY-NC 4.0."), (None, "a/n.py", "x"), (12, "a//odd/", "y"), (13, "a/b2/m.py", "word " * 40_000), (14, "a/b/license", "no words of that kind")]
+
+
+@pytest.fixture(scope="module")
+def files(spark):
+    return spark.createDataFrame(ROWS, "file long, path string, text string").selectExpr("*", "1 as dir", "2 as license", "3 as line")
+
+
+def test_own_and_inherited_licences(files):
+    got = {r.file: (r.license, r.origin, r.directory) for r in licenses.scan(files).collect()}
+    assert got[1] == ("Apache-2.0", "own", None) and got[4] == ("MIT", "own", None) and got[7] == ("proprietary", "own", None)
+    assert got[11] == ("CC-BY-NC-4.0", "own", None) and got[8][0] == "GPL-3.0"
+    assert got[2] == got[5] == got[None] == got[13] == ("MIT", "inherited", "a")
+    assert got[3] == got[9] == ("GPL-3.0", "inherited", "a/b/c")
+    assert got[6] == got[10] == (None, "none", None)
+
+
+def test_sql_gives_the_same(spark, files):
+    con = connect("/nowhere")
+    con.register("files", files.select("file", "path", "text").toArrow())
+    ran = con.execute(licenses.SCAN_SQL.replace("FILES_TABLE", "files"))
+    want = rows_of([d[0] for d in ran.description], ran.fetchall())
+    df = licenses.scan(files)
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == want
+    sf = "/root/testdata/sf0.01"
+    assert compare(spark, connect(sf), sf, QUERIES["op5_license_scan"], SQL["op5_license_scan"]) is None
+
+
+def test_empty_table(files):
+    assert licenses.scan(files.where("false")).collect() == []
