@@ -19,7 +19,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import id_text
 from riskweave.session import materialize
 
 GAP = r"[\x20\x09-\x0D]+"
@@ -59,12 +58,14 @@ RULES = (
 )
 
 
-def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text, words, lines`` and the five measures, all from one pass over the rows."""
-    split = id_text(docs, id_col, text_col).select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text")
-    ).select(
-        "doc_id", "text",
+def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_rows: bool = False) -> DataFrame:
+    """``doc_id, text, words, lines`` and the five measures, all from one pass over the rows.
+
+    With ``whole_rows`` the column ``row`` holds the input row, whatever its columns are called.
+    """
+    carried = ["row"] if whole_rows else []
+    split = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *[F.struct("*").alias(c) for c in carried]).select(
+        *carried, "doc_id", "text",
         F.filter(F.split("text", GAP), lambda w: w != "").alias("words"),
         F.filter(F.split("text", "\n"), lambda line: line.rlike(WORD)).alias("lines"),
     )
@@ -78,7 +79,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     places = F.flatten(F.transform(F.filter("windows", repeats), lambda s: F.array(s.i, s.i + 1, s.i + 2)))
     return ordered.select(
-        "doc_id", "text", "words", "lines",
+        *carried, "doc_id", "text", "words", "lines",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.regexp_replace("text", GAP, "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("text", f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
@@ -128,6 +129,14 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = S
     return rows.select("doc_id", *MEASURES, base_failed().alias("base_failed"), cascade(order).alias("first_failed")).withColumn("kept", F.col("first_failed").isNull())
 
 
+def kept_rows(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that no rule rejects, with all their columns."""
+    rows = measured(docs, id_col, text_col, whole_rows=True)
+    order = [rule for rule, _, _ in ordered_rules(rows.drop("row"), rules, sample_rows)]
+    # a filter would be pushed below the measures and compute them anew for every word it looks at
+    return rows.select(F.explode(F.when(cascade(order).isNull(), F.array("row"))).alias("row")).select("row.*")
+
+
 #: The verdict of ``judge`` in DuckDB SQL, over the table or subquery put for {documents}.
 VERDICT_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM {documents}),

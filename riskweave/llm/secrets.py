@@ -18,10 +18,11 @@ import math
 import re
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import id_text, map_texts
+from riskweave.llm.common import SLICE, id_text, map_texts
 from riskweave.session import materialize
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -182,6 +183,44 @@ def discovery_cuts(tested: DataFrame, false_share: float = FALSE_SHARE) -> dict[
     return cuts
 
 
+def accepted(text: str, cuts: dict[str, int]) -> list[tuple[int, int]]:
+    """Ranges of all secrets of a text, under cuts that are known."""
+    base = base_spans(text)
+    found = [(a, b) for a, b, _ in base]
+    found += [(t["start"], t["end"]) for t in candidates(text, base) if t["fits"] >= REJECT and t["bin"] >= cuts.get(t["band"], BINS + 1)]
+    return sorted(found)
+
+
+def redacted(docs: DataFrame, mark: str = "[secret]", false_share: float = FALSE_SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input rows with every secret in the text replaced by ``mark``; null texts stay null.
+
+    Two passes over the texts, the first for the cuts; no text is shuffled. Overlapping secrets
+    become one mark.
+    """
+    cuts = discovery_cuts(materialize(battery(docs, id_col, text_col).select("tokens"), "battery"), false_share)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                texts = [None if t is None else blanked(t, accepted(t, cuts), mark) for t in part.column(at).to_pylist()]
+                columns = list(part.columns)
+                columns[at] = pa.array(texts, part.schema.field(at).type)
+                yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def blanked(text: str, spans: list[tuple[int, int]], mark: str) -> str:
+    out, at = [], 0
+    for start, end in spans:
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
 def find_secrets(docs: DataFrame, false_share: float = FALSE_SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, spans``: ``(kind, start, end)`` by start and kind, in code points, ends exclusive.
 
