@@ -155,9 +155,9 @@ def sector_breakdown(
 
 
 def cascade_subgraph(
-    nodes: DataFrame, edges: DataFrame, bank: str, limit: int | None = 500,
+    nodes: DataFrame, edges: DataFrame, bank: str, limit: int | None = None,
 ) -> DataFrame:
-    """Edges among the nodes of one bank's cascade, at most ``limit`` as the report asks.
+    """Edges among the nodes of one bank's cascade, all of them or the first ``limit`` in order.
 
     The pattern's steps may be skipped, so a chain that stops early still adds its nodes.
     """

@@ -22,6 +22,11 @@ from riskweave.session import materialize
 ROUNDS_PER_JOB = 5
 
 
+# Digits behind the point that sums of weights keep; larger amounts than fit are an error.
+SCALE = 12
+AMOUNT = f"decimal(28,{SCALE})"
+
+
 def _ends(edges: DataFrame, at_source: dict, at_target: dict) -> DataFrame:
     """Both ends of every edge as rows, from one pass over the edges."""
     def end(node, values):
@@ -51,14 +56,14 @@ def exposure(nodes: DataFrame, edges: DataFrame, mode: str = "sum", seq: str | N
 
     ``sum`` adds every edge weight. ``last`` lets the last parallel edge by ``seq`` set the
     weight of a pair, counted once per parallel edge. Money is added as decimals, so the
-    result does not depend on the order of addition.
+    result does not depend on the order of addition; ``SCALE`` digits behind the point stay.
     """
     weighted = edges
     if mode == "last":
         weighted = edges.groupBy("source_id", "target_id").agg(
             (F.max(F.struct(F.col(seq), F.col("weight")))["weight"] * F.count("*")).alias("weight"))
-    money = F.coalesce(F.col("weight"), F.lit(0.0)).cast("decimal(28,2)")
-    none = F.lit(0).cast("decimal(28,2)")
+    money = F.coalesce(F.col("weight"), F.lit(0.0)).cast(AMOUNT)
+    none = F.lit(0).cast(AMOUNT)
     flows = _ends(weighted, {"i": none, "o": money}, {"i": money, "o": none}).unionByName(
         nodes.where("node_id is not null").select("node_id", none.alias("i"), none.alias("o")))
     total = flows.groupBy("node_id").agg(F.sum("i").alias("i"), F.sum("o").alias("o"))

@@ -732,7 +732,7 @@ def unlearn(spark, sf):
 
 def _attributions(spark, sf):
     return _once(spark, sf, "attributions", lambda: materialize(explain.attributions(
-        _model(spark, sf), explain.attribution_sample(_features(spark, sf)), _features(spark, sf)), "attributions"))
+        _model(spark, sf), explain.attribution_sample(_features(spark, sf), 100), _features(spark, sf)), "attributions"))
 
 
 @query
@@ -747,7 +747,7 @@ def global_importance(spark, sf):
 
 @query
 def explain_top(spark, sf):
-    sampled = explain.attribution_sample(_scored(spark, sf))
+    sampled = explain.attribution_sample(_scored(spark, sf), 100)
     return explain.explain_top(sampled, _attributions(spark, sf))
 
 

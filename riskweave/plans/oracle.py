@@ -177,8 +177,8 @@ def _exposure(source: str) -> str:
 exposure as (select node_id, cast(i as double) as incoming_exposure, cast(o as double) as outgoing_exposure,
   cast(i - o as double) as net_exposure, cast(i + o as double) as total_exposure from (
   select u.node_id, coalesce(a.s, 0) as i, coalesce(b.s, 0) as o from universe u
-  left join (select target_id, sum(cast(weight as decimal(28,2))) s from {source} group by 1) a on a.target_id = u.node_id
-  left join (select source_id, sum(cast(weight as decimal(28,2))) s from {source} group by 1) b on b.source_id = u.node_id))"""
+  left join (select target_id, sum(cast(cast(weight as varchar) as decimal(28,12))) s from {source} group by 1) a on a.target_id = u.node_id
+  left join (select source_id, sum(cast(cast(weight as varchar) as decimal(28,12))) s from {source} group by 1) b on b.source_id = u.node_id))"""
 
 
 CLUSTERING = """
@@ -327,7 +327,8 @@ reps as materialized (select min(entity) as entity, count(*) as copies, {_ALL} f
 cand as (select distinct x.entity as e1, y.entity as e2 from bands x join bands y on x.band = y.band and x.band_key = y.band_key
   and x.entity < y.entity where x.entity in (select entity from reps) and y.entity in (select entity from reps)),
 pairs as materialized (select a.entity as entity1, b.entity as entity2, {_SIM} as similarity, a.copies as copies1, b.copies as copies2
-  from cand join reps a on a.entity = e1 join reps b on b.entity = e2)"""
+  from cand join reps a on a.entity = e1 join reps b on b.entity = e2
+  union all select entity, entity, 1.0::double, copies, copies from reps where copies > 1)"""
 
 # Running position and ones of the loan stream, and the sizes after n ones.
 _BIT = "cast(weight > 1e9 as bigint)"
@@ -585,7 +586,7 @@ SQL: dict[str, str] = {
         join own o2 on o2.investor = o.investor and o2.stock <> l.stock join nodes n on n.node_id = o2.stock
         group by 1, 2 having count(distinct o2.stock) >= 3""", CASCADE),
     "cascade_subgraph": graph("""select source_id, target_id, relationship_type, weight from edges where source_id in (select id from members)
-        and target_id in (select id from members) order by 1, 2, 3 limit 500""", CASCADE, """
+        and target_id in (select id from members)""", CASCADE, """
         s1 as (select stock as id from listed where bank = '0'), inv as (select distinct investor as id from own where stock in (select id from s1)),
         members as (select 'BANK_0' as id union select id from s1 union select id from inv
           union select stock from own where investor in (select id from inv))"""),

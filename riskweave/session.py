@@ -41,7 +41,12 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/riskweave/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    """Scratch of this application: others that share the root keep theirs."""
+    return f"{scratch_root(spark)}/riskweave/{spark.sparkContext.applicationId}"
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -57,6 +62,6 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete every intermediate table this library wrote under the scratch area."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/riskweave")
+    """Delete every intermediate table that this application wrote under the scratch area."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

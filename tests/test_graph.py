@@ -163,3 +163,10 @@ def test_split_joins_keep_every_row(spark):
             assert sorted(map(str, sized_join(heavy, other, ["k"], size, how).select("k", "v", "w").collect())) == want
     with pytest.raises(ValueError):
         split_join(heavy, other, ["k"], how="full")
+
+
+def test_exposure_keeps_small_weights(spark):
+    edges = spark.createDataFrame([("a", "b", 0.004)] * 3 + [("b", "a", 1e-9)], "source_id string, target_id string, weight double")
+    nodes = spark.createDataFrame([("a",), ("b",)], "node_id string")
+    got = {r.node_id: (r.incoming_exposure, r.outgoing_exposure) for r in graph.exposure(nodes, edges).collect()}
+    assert got == {"a": (1e-9, 0.012), "b": (0.012, 1e-9)}
