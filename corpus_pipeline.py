@@ -31,8 +31,7 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
-    found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("leaked")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["leaked"]), "left_anti")
+    return decontam.without(docs, decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

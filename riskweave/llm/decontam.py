@@ -29,6 +29,7 @@ WINDOW, SHORTEST, LITERALS = 8, 4, 4
 SHARE = 20
 #: Windows of the benchmark that may be broadcast (a few tens of bytes each).
 BROADCAST_ROWS = 1_000_000
+FILTER_BITS = 1 << 23
 
 NUM, UNIT, NAME = "<num>", "<unit>", "<name>"
 # Punctuation at the ends of words, and units.
@@ -95,6 +96,31 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     return kept.join(kept.groupBy("item").agg(F.count("*").alias("of")), "item")
 
 
+def marked(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``_may``: whether their key may be among ``keys``, told without a shuffle of ``rows``.
+
+    A bit filter of ``FILTER_BITS`` bits in words of 64, as a table: at most ``FILTER_BITS`` / 64
+    rows whatever the input, joined by broadcast. Nulls count as zero.
+    """
+    def bit(column: str) -> Column:
+        return F.pmod(F.coalesce(F.col(column), F.lit(0)), F.lit(FILTER_BITS))
+
+    words = keys.select(bit(key).alias("b")).groupBy(F.shiftright("b", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("_mask"))
+    placed = rows.withColumn("_b", bit(key)).withColumn("_word", F.shiftright("_b", 6))
+    met = placed.join(F.broadcast(words), "_word", "left")
+    has = F.coalesce(F.expr("(shiftrightunsigned(_mask, cast(_b & 63 as int)) & 1) = 1"), F.lit(False))
+    return met.withColumn("_may", has).drop("_word", "_b", "_mask")
+
+
+def without(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows whose id is not among ``keys`` (null matches null); only rows that may be are shuffled."""
+    other = materialize(keys.select(F.col(id_col).cast("long").alias("_key")).distinct(), "keys")
+    seen = marked(docs.select(F.col(id_col).cast("long").alias("_id"), F.struct("*").alias("_row")), other.withColumnRenamed("_key", "_id"), "_id")
+    open_rows = seen.where("_may")
+    kept = open_rows.join(other, open_rows["_id"].eqNullSafe(other["_key"]), "left_anti")
+    return seen.where("not _may").unionByName(kept).select("_row.*")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, n_matched, n_windows, n_slots, n_changed`` of contaminated pairs.
 
@@ -116,7 +142,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     # occurrences with slots need the words of their documents
     open_matches = found.where("n_slots > 0").groupBy("id").agg(F.collect_set(F.struct("at", "item", "item_at", "diagonal")).alias("matches"))
-    words = id_text(docs, id_col, text_col).select(F.col("doc_id").alias("id"), "text")
+    open_matches = materialize(open_matches, "open-matches")
+    words = marked(id_text(docs, id_col, text_col).select(F.col("doc_id").alias("id"), "text"), open_matches, "id").where("_may").drop("_may")
     met = words.join(open_matches, words["id"].eqNullSafe(open_matches["id"])).select(
         words["id"], F.filter(F.split(F.coalesce("text", F.lit("")), GAP), lambda w: w != "").alias("words"), F.explode("matches").alias("m"))
     # the window's own words, at most eight, go on
