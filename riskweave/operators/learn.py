@@ -63,6 +63,8 @@ def stratified_split(
         n_test = int(row["n"] * test_share + 0.5)
         test = smallest_k(own, "_h", ids, n_test).select(*ids, F.lit("test").alias("_split"))
         parts = test if parts is None else parts.unionByName(test)
+    if parts is None:  # no rows, no classes
+        return hashed.drop("_h").withColumn("split", F.lit("train"))
     return hashed.join(parts, list(ids), "left").withColumn(
         "split", F.coalesce("_split", F.lit("train"))).drop("_h", "_split")
 

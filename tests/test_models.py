@@ -166,3 +166,9 @@ def test_attributions_add_up(labelled, model):
     rows = explain.explain_top(learn.score(model, sample), attr, 2, 3).collect()
     assert len(rows) == 6 and {r["rank"] for r in rows} == {1, 2, 3}
     assert all((r["direction"] == "up") == (r["contribution"] > 0) for r in rows)
+
+
+def test_split_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "node_id string, cascade_risk int, x double")
+    got = learn.stratified_split(empty, "cascade_risk")
+    assert got.columns == ["node_id", "cascade_risk", "x", "split"] and got.count() == 0
