@@ -7,7 +7,10 @@ the benchmark items, so a question matches whatever its numbers and names are.
 
 Matches of a document and an item on one diagonal (document place less item place) are one occurrence.
 There every value in the item's slots must stand for one value of the document; if one stands for
-two, the occurrence is chance and does not count. A document is contaminated by an item when windows
+two, it is disputed. ``veto`` says what that costs. With "diagonal" (the query and its SQL) the whole
+occurrence is chance and does not count. With "window" (the pipeline) only windows go that hold a
+disputed value and differ from the item in a slot: windows without slots, and windows with all the
+item's values, always count, so one altered name does not hide a copy. A document is contaminated by an item when windows
 of its consistent occurrences cover ``SHARE`` percent of the item's windows, and two at least.
 
 Items of ``SHORTEST`` to ``WINDOW``-1 words are matched whole. Shorter items, and windows with fewer
@@ -121,12 +124,15 @@ def without(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id") -> DataFra
     return seen.where("not _may").unionByName(kept).select("_row.*")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", veto: str = "diagonal") -> DataFrame:
     """``doc_id, item_id, n_matched, n_windows, n_slots, n_changed`` of contaminated pairs.
 
     ``n_matched`` counts distinct windows of the item, ``n_slots`` its slot values that were met and
-    ``n_changed`` those for which the document has another value.
+    ``n_changed`` those for which the document has another value; under veto "window" both leave
+    disputed values out.
     """
+    if veto not in ("diagonal", "window"):
+        raise ValueError(f"veto {veto!r}")
     items = materialize(benchmark_windows(benchmark, item_col, item_text_col), "benchmark-windows")
     n_windows = items.count()
     widths = sorted(r.width for r in items.select("width").distinct().collect())  # at most five widths
@@ -149,16 +155,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     # the window's own words, at most eight, go on
     met = met.select("id", "m.*", F.slice("words", F.col("m.at") + 1, WINDOW).alias("here"))
     met = met.join(side.select("item", F.col("at").alias("item_at"), "slots"), ["item", "item_at"])
-    filled = met.select("id", "item", "diagonal", "here", F.explode("slots").alias("s")).select(
-        "id", "item", "diagonal", "s.kind", "s.value", F.lower(_core(F.get("here", F.col("s.k")))).alias("met"))
-    slots = filled.groupBy("id", "item", "diagonal", "kind", "value").agg(F.min("met").alias("low"), F.max("met").alias("high"))
+    # a window with a changed value, else null
+    altered = F.when(F.exists("slots", lambda s: F.lower(_core(F.get("here", s.k))) != s.value), F.col("item_at"))
+    filled = met.select("id", "item", "diagonal", "here", altered.alias("altered"), F.explode("slots").alias("s")).select(
+        "id", "item", "diagonal", "altered", "s.kind", "s.value", F.lower(_core(F.get("here", F.col("s.k")))).alias("met"))
+    per_window = veto == "window"
+    places = [F.collect_set("altered").alias("altered")] if per_window else []
+    slots = filled.groupBy("id", "item", "diagonal", "kind", "value").agg(F.min("met").alias("low"), F.max("met").alias("high"), *places)
+    one = F.col("low") == F.col("high")
+    counted = one if per_window else F.lit(True)
+    chance = F.array_distinct(F.flatten(F.collect_list(F.when(~one, F.col("altered"))))) if per_window else F.lit(None).cast("array<int>")
     judged = slots.groupBy("id", "item", "diagonal").agg(
-        F.bool_and(F.col("low") == F.col("high")).alias("consistent"), F.count("*").alias("n_slots"), F.count_if(F.col("low") != F.col("value")).alias("n_changed"))
+        F.bool_and(one).alias("consistent"), F.count_if(counted).alias("n_slots"), F.count_if(counted & (F.col("low") != F.col("value"))).alias("n_changed"), chance.alias("chance"))
     judged = materialize(judged, "template-slots")
 
     per = found.groupBy("id", "item", "diagonal", "of").agg(F.collect_set("item_at").alias("places"))
     same = per["id"].eqNullSafe(judged["id"]) & (per["item"] == judged["item"]) & (per["diagonal"] == judged["diagonal"])
-    per = per.join(judged, same, "left").where("consistent is null or consistent").select(per["id"], per["item"], "of", "places", "n_slots", "n_changed")
+    per = per.join(judged, same, "left").select(per["id"], per["item"], "of", "places", "n_slots", "n_changed", "consistent", "chance")
+    if per_window:
+        per = per.withColumn("places", F.when(F.col("chance").isNull(), F.col("places")).otherwise(F.array_except("places", "chance"))).where(F.size("places") > 0)
+    else:
+        per = per.where("consistent is null or consistent")
     pairs = per.groupBy("id", "item", "of").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"),
         F.coalesce(F.max("n_slots"), F.lit(0)).cast("long").alias("n_slots"), F.coalesce(F.max("n_changed"), F.lit(0)).cast("long").alias("n_changed"))

@@ -5,6 +5,7 @@ import random
 import pytest
 from compare import compare, connect
 
+import corpus_pipeline
 from riskweave.llm import decontam
 from riskweave.llm.queries import QUERIES, SQL
 
@@ -61,3 +62,16 @@ def test_sql_gives_the_same(spark, tables, tmp_path):
     sf = "/root/testdata/sf0.01"
     assert compare(spark, connect(sf), sf, QUERIES["op2_decontaminate"], SQL["op2_decontaminate"]) is None
     assert QUERIES["op2_decontaminate"](spark, sf).count() > 10
+
+
+def test_an_altered_value_costs_its_own_windows_only(spark, tables, tmp_path):
+    docs, items = tables
+    got = {(r.doc_id, r.item_id): r for r in decontam.contaminated(docs, items, veto="window").collect()}
+    whole = {(r.doc_id, r.item_id): r for r in decontam.contaminated(docs, items).collect()}
+    assert set(got) == {*whole, (3, 100)} and all(got[k] == r for k, r in whole.items())
+    # only the windows over the altered name go
+    zoe = ITEM.split().index("then") + 1
+    assert got[3, 100].n_windows - got[3, 100].n_matched == sum(at <= zoe < at + decontam.WINDOW for at in range(got[3, 100].n_windows))
+    items.select("item_id", "text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = {r.doc_id for r in corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path)).collect()}
+    assert not left & {1, 2, 3, 15} and {4, 5, 6, 8} <= left
