@@ -31,7 +31,7 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark; an altered name or number does not hide the rest of a copy."""
-    return decontam.without(docs, decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), veto="window"))
+    return decontam.without(docs, decontam.contaminated_rows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), veto="window"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,8 +15,8 @@ of its consistent occurrences cover ``SHARE`` percent of the item's windows, and
 
 Items of ``SHORTEST`` to ``WINDOW``-1 words are matched whole. Shorter items, and windows with fewer
 than ``LITERALS`` words that are no placeholders, say too little and match nothing. Null and empty
-texts have no words. Rows that repeat an id are one document; rows without an id are judged as one
-document with a null id.
+texts have no words. Rows are told apart by id and a hash of the text, so rows that share an id, or
+have none, are judged each by its own words. A pair is given once per id.
 """
 
 from __future__ import annotations
@@ -72,18 +72,23 @@ def template_tokens(words: str) -> Column:
     return F.transform(words, token)
 
 
+def _keyed(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, print, text``: rows with the same id and print are equal."""
+    return id_text(rows, id_col, text_col).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("print"), "text")
+
+
 def templates(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, words, tokens``."""
-    split = id_text(rows, id_col, text_col).select(F.col("doc_id").alias("id"), F.filter(F.split(F.coalesce("text", F.lit("")), GAP), lambda w: w != "").alias("words"))
+    """``id, print, words, tokens``."""
+    split = _keyed(rows, id_col, text_col).select("id", "print", F.filter(F.split(F.coalesce("text", F.lit("")), GAP), lambda w: w != "").alias("words"))
     return split.withColumn("tokens", template_tokens("words"))
 
 
 def _windows(rows: DataFrame, width: int) -> DataFrame:
-    """``id, at, hash`` of every window; ``rows`` has ``id, tokens``."""
+    """``id, print, at, hash`` of every window; ``rows`` has ``id, print, tokens``."""
     starts = F.sequence(F.lit(0), F.size("tokens") - width)
     # one access per token: slice() would copy the whole array for every window
     hashes = F.when(F.size("tokens") >= width, F.transform(starts, lambda i: F.xxhash64(*[F.get("tokens", i + k) for k in range(width)])))
-    return rows.select("id", F.posexplode(hashes).alias("at", "hash"))
+    return rows.select("id", "print", F.posexplode(hashes).alias("at", "hash"))
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -115,17 +120,27 @@ def marked(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return met.withColumn("_may", has).drop("_word", "_b", "_mask")
 
 
-def without(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows whose id is not among ``keys`` (null matches null); only rows that may be are shuffled."""
-    other = materialize(keys.select(F.col(id_col).cast("long").alias("_key")).distinct(), "keys")
-    seen = marked(docs.select(F.col(id_col).cast("long").alias("_id"), F.struct("*").alias("_row")), other.withColumnRenamed("_key", "_id"), "_id")
+def _row() -> Column:
+    """What tells rows apart, as one number."""
+    return F.xxhash64("id", "print")
+
+
+def _same(a: DataFrame, b: DataFrame) -> Column:
+    return a["id"].eqNullSafe(b["id"]) & (a["print"] == b["print"])
+
+
+def without(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows whose id and text are not among ``keys`` (``id, print``); only rows that may be are shuffled."""
+    other = materialize(keys.select("id", "print").distinct(), "keys")
+    keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("print"), F.struct("*").alias("_row"))
+    seen = marked(keyed.withColumn("_key", _row()), other.select(_row().alias("_key")), "_key")
     open_rows = seen.where("_may")
-    kept = open_rows.join(other, open_rows["_id"].eqNullSafe(other["_key"]), "left_anti")
+    kept = open_rows.join(other, _same(open_rows, other), "left_anti")
     return seen.where("not _may").unionByName(kept).select("_row.*")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", veto: str = "diagonal") -> DataFrame:
-    """``doc_id, item_id, n_matched, n_windows, n_slots, n_changed`` of contaminated pairs.
+def contaminated_rows(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", veto: str = "diagonal") -> DataFrame:
+    """``id, print, item, n_matched, of, n_slots, n_changed`` of contaminated pairs, for each distinct row.
 
     ``n_matched`` counts distinct windows of the item, ``n_slots`` its slot values that were met and
     ``n_changed`` those for which the document has another value; under veto "window" both leave
@@ -138,49 +153,58 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     widths = sorted(r.width for r in items.select("width").distinct().collect())  # at most five widths
     side = F.broadcast(items) if n_windows <= BROADCAST_ROWS else items
 
-    rows = templates(docs, id_col, text_col).select("id", "tokens")
+    rows = templates(docs, id_col, text_col).select("id", "print", "tokens")
     found = None
     for width in widths or [WINDOW]:
         met = _windows(rows, width).join(side.where(F.col("width") == width).select("item", F.col("at").alias("item_at"), "hash", "of", F.size("slots").alias("n_slots")), "hash")
-        met = met.select("id", "at", "item", "item_at", "of", "n_slots", (F.col("at") - F.col("item_at")).alias("diagonal"))
+        met = met.select("id", "print", "at", "item", "item_at", "of", "n_slots", (F.col("at") - F.col("item_at")).alias("diagonal"))
         found = met if found is None else found.unionByName(met)
     found = materialize(found, "template-matches")
 
     # occurrences with slots need the words of their documents
-    open_matches = found.where("n_slots > 0").groupBy("id").agg(F.collect_set(F.struct("at", "item", "item_at", "diagonal")).alias("matches"))
+    open_matches = found.where("n_slots > 0").groupBy("id", "print").agg(F.collect_set(F.struct("at", "item", "item_at", "diagonal")).alias("matches"))
     open_matches = materialize(open_matches, "open-matches")
-    words = marked(id_text(docs, id_col, text_col).select(F.col("doc_id").alias("id"), "text"), open_matches, "id").where("_may").drop("_may")
-    met = words.join(open_matches, words["id"].eqNullSafe(open_matches["id"])).select(
-        words["id"], F.filter(F.split(F.coalesce("text", F.lit("")), GAP), lambda w: w != "").alias("words"), F.explode("matches").alias("m"))
+    words = marked(_keyed(docs, id_col, text_col).withColumn("_key", _row()), open_matches.select(_row().alias("_key")), "_key").where("_may").drop("_may", "_key")
+    met = words.join(open_matches, _same(words, open_matches)).select(
+        words["id"], words["print"], F.filter(F.split(F.coalesce("text", F.lit("")), GAP), lambda w: w != "").alias("words"), F.explode("matches").alias("m"))
     # the window's own words, at most eight, go on
-    met = met.select("id", "m.*", F.slice("words", F.col("m.at") + 1, WINDOW).alias("here"))
+    met = met.select("id", "print", "m.*", F.slice("words", F.col("m.at") + 1, WINDOW).alias("here"))
     met = met.join(side.select("item", F.col("at").alias("item_at"), "slots"), ["item", "item_at"])
     # a window with a changed value, else null
     altered = F.when(F.exists("slots", lambda s: F.lower(_core(F.get("here", s.k))) != s.value), F.col("item_at"))
-    filled = met.select("id", "item", "diagonal", "here", altered.alias("altered"), F.explode("slots").alias("s")).select(
-        "id", "item", "diagonal", "altered", "s.kind", "s.value", F.lower(_core(F.get("here", F.col("s.k")))).alias("met"))
+    filled = met.select("id", "print", "item", "diagonal", "here", altered.alias("altered"), F.explode("slots").alias("s")).select(
+        "id", "print", "item", "diagonal", "altered", "s.kind", "s.value", F.lower(_core(F.get("here", F.col("s.k")))).alias("met"))
     per_window = veto == "window"
     places = [F.collect_set("altered").alias("altered")] if per_window else []
-    slots = filled.groupBy("id", "item", "diagonal", "kind", "value").agg(F.min("met").alias("low"), F.max("met").alias("high"), *places)
+    slots = filled.groupBy("id", "print", "item", "diagonal", "kind", "value").agg(F.min("met").alias("low"), F.max("met").alias("high"), *places)
     one = F.col("low") == F.col("high")
     counted = one if per_window else F.lit(True)
     chance = F.array_distinct(F.flatten(F.collect_list(F.when(~one, F.col("altered"))))) if per_window else F.lit(None).cast("array<int>")
-    judged = slots.groupBy("id", "item", "diagonal").agg(
+    judged = slots.groupBy("id", "print", "item", "diagonal").agg(
         F.bool_and(one).alias("consistent"), F.count_if(counted).alias("n_slots"), F.count_if(counted & (F.col("low") != F.col("value"))).alias("n_changed"), chance.alias("chance"))
     judged = materialize(judged, "template-slots")
 
-    per = found.groupBy("id", "item", "diagonal", "of").agg(F.collect_set("item_at").alias("places"))
-    same = per["id"].eqNullSafe(judged["id"]) & (per["item"] == judged["item"]) & (per["diagonal"] == judged["diagonal"])
-    per = per.join(judged, same, "left").select(per["id"], per["item"], "of", "places", "n_slots", "n_changed", "consistent", "chance")
+    per = found.groupBy("id", "print", "item", "diagonal", "of").agg(F.collect_set("item_at").alias("places"))
+    same = _same(per, judged) & (per["item"] == judged["item"]) & (per["diagonal"] == judged["diagonal"])
+    per = per.join(judged, same, "left").select(per["id"], per["print"], per["item"], "of", "places", "n_slots", "n_changed", "consistent", "chance")
     if per_window:
         per = per.withColumn("places", F.when(F.col("chance").isNull(), F.col("places")).otherwise(F.array_except("places", "chance"))).where(F.size("places") > 0)
     else:
         per = per.where("consistent is null or consistent")
-    pairs = per.groupBy("id", "item", "of").agg(
+    pairs = per.groupBy("id", "print", "item", "of").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"),
         F.coalesce(F.max("n_slots"), F.lit(0)).cast("long").alias("n_slots"), F.coalesce(F.max("n_changed"), F.lit(0)).cast("long").alias("n_changed"))
-    return pairs.where((100 * F.col("n_matched") >= SHARE * F.col("of")) & (F.col("n_matched") >= F.least(F.lit(2), F.col("of")))).select(
-        F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_matched", F.col("of").alias("n_windows"), "n_slots", "n_changed")
+    return pairs.where((100 * F.col("n_matched") >= SHARE * F.col("of")) & (F.col("n_matched") >= F.least(F.lit(2), F.col("of"))))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", veto: str = "diagonal") -> DataFrame:
+    """``doc_id, item_id, n_matched, n_windows, n_slots, n_changed`` of contaminated pairs, once per id.
+
+    Where rows with other texts share an id, the counts are the largest of any of them.
+    """
+    rows = contaminated_rows(docs, benchmark, id_col, text_col, item_col, item_text_col, veto)
+    counts = rows.groupBy("id", "item", "of").agg(*[F.max(c).alias(c) for c in ("n_matched", "n_slots", "n_changed")])
+    return counts.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_matched", F.col("of").alias("n_windows"), "n_slots", "n_changed")
 
 
 def _sql_windows(table: str, key: str) -> str:

@@ -75,3 +75,21 @@ def test_an_altered_value_costs_its_own_windows_only(spark, tables, tmp_path):
     items.select("item_id", "text").write.parquet(f"{tmp_path}/benchmark.parquet")
     left = {r.doc_id for r in corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path)).collect()}
     assert not left & {1, 2, 3, 15} and {4, 5, 6, 8} <= left
+
+
+def test_rows_that_share_an_id_are_judged_alone(spark, tables, tmp_path):
+    items = tables[1].where("item_id = 100")
+    other = ITEM.replace("Anna", "Clara").replace("12", "47").replace("Bob", "Dan")
+    words = ITEM.split()
+    # each of the parts holds two of 19 windows, under SHARE, together they are over it
+    parts = [(None, " ".join(words[at:at + 9])) for at in (8, 11, 14)]
+    docs = [(None, ITEM), (None, other), (None, None), (None, "a clean text without an id"), *parts, (1, ITEM), (1, other), (1, "a clean text with the id of a leak"), (2, parts[0][1]), (2, parts[1][1]), (2, parts[2][1])]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in decontam.contaminated(docs, items).collect()}
+    assert set(got) == {None, 1}
+    assert all(r.n_matched == r.n_windows == 19 and r.n_changed == 3 for r in got.values())
+    rows = decontam.contaminated_rows(docs, items).collect()
+    assert sorted((r.id is None, r.n_changed) for r in rows) == [(False, 0), (False, 3), (True, 0), (True, 3)]
+    items.select("item_id", "text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = [tuple(r) for r in corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path)).collect()]
+    assert sorted(left, key=str) == sorted((tuple(r) for r in docs.collect() if r.text not in (ITEM, other)), key=str)
