@@ -5,9 +5,12 @@ encoding that covers it (hexadecimal, base 32, base 62, base 64). Three tests as
 fits a uniform draw from that alphabet: chi-squared on symbol counts, runs above and below the
 middle symbol, and lag-one serial correlation. A token that fails one is not random.
 
-The other question, whether ordinary text could look that even, has a probability too: under
-letter frequencies of prose the number of equal symbol pairs has a known mean and variance. These
-probabilities shrink with length, so tokens are judged within bands of encoding and length, and in
+The other question, whether ordinary text could look like that, has a probability too. Text is taken
+as a walk over kinds of symbols (lower and upper case, digits, others), its letters by the letter
+before. Under that law a token is R times as likely from a uniform draw with probability 1/R at most,
+whatever its length (Markov's bound, times the number of alphabets). Beside it, the number of equal
+symbol pairs under letter frequencies of prose has a known mean and variance; the smaller one counts,
+doubled. These probabilities shrink with length, so tokens are judged within bands of encoding and length, and in
 each band the Benjamini-Hochberg step over *all* tokens of the corpus sets the cut. Only counts per
 band and bin reach the driver: a fixed number of cells at any corpus size.
 """
@@ -39,10 +42,24 @@ BINS, STEPS = 160, 4
 ASSIGN = re.compile(r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH)
+# An equals sign cuts (name=value), except as padding at the end.
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}(?:=+(?![A-Za-z0-9+/_=-]))?" % (MIN_LENGTH - 2))
 
 # Letter frequencies of English prose in per mille, a to z.
 LETTERS = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1)
+# How often a letter (column) follows a letter (row) in words of mixed languages, in halvings of one.
+FOLLOWS = (
+    "67565996499682599442387999", "99991999999199499999999949", "99999991299999499999999999", "45991995399695299554696999",
+    "37744996499582589235688997", "46793975697697179253778997", "35791974597595489644776997", "26891985498695489654886998",
+    "68493997799771398743989999", "09999999999999999999999999", "99990999999999999999999999", "39891999499399699989999929",
+    "89990999299999899999999999", "45633935598585488552776998", "79898399599961899358299999", "19999199799999499999999999",
+    "99999999999999999999099999", "45791975598685489454776998", "57374972589676597661697999", "57994991299796499565997995",
+    "56792786598672567565877398", "99991999199999399999999999", "39999990399999899999999999", "39492999599549354393949999",
+    "45992994499594399543995999", "55574967676669877755179997")
+# Share of pairs of letters that follow no such rule (names, abbreviations, other languages).
+UNRULED = 0.1
+# Kinds of symbols that follow a kind in ordinary tokens: lower, upper, digit, other.
+STEP = {"start": (0.55, 0.25, 0.15, 0.05), "lower": (0.84, 0.07, 0.03, 0.06), "upper": (0.45, 0.45, 0.04, 0.06), "digit": (0.10, 0.08, 0.70, 0.12), "other": (0.55, 0.22, 0.20, 0.03)}
 # Share of digits that the text law grants to a token of letters and digits.
 DIGIT_SHARE = 0.2
 
@@ -69,6 +86,32 @@ def _text_law(alphabet: str) -> tuple[float, float]:
 LAWS = {name: _text_law(alphabet) for name, alphabet in ALPHABETS.items()}
 
 
+def _kind(c: str) -> str:
+    return "lower" if c in LOWER else "upper" if c in UPPER else "digit" if c in DIGIT else "other"
+
+
+def _walk_law() -> dict[str, float]:
+    """log10 of the chance of a symbol after a symbol (keys of two) or at the start (of one)."""
+    symbols = ALPHABETS["base64"]
+    kinds = list(STEP)[1:]
+    first = [x / sum(LETTERS) for x in LETTERS]
+    law = {}
+    for a in ["", *symbols]:
+        after = first
+        if a and a.lower() in LOWER:
+            row = [2.0 ** -int(x) for x in FOLLOWS[LOWER.index(a.lower())]]
+            after = [UNRULED / 26 + (1 - UNRULED) * x / sum(row) for x in row]
+        step = STEP[_kind(a) if a else "start"]
+        for b in symbols:
+            kind = _kind(b)
+            within = after[LOWER.index(b.lower())] if kind in ("lower", "upper") else 1 / 10 if kind == "digit" else 1 / 4
+            law[a + b] = math.log10(step[kinds.index(kind)] * within)
+    return law
+
+
+WALK = _walk_law()
+
+
 def _upper_normal(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
@@ -119,7 +162,13 @@ def randomness(token: str, encoding: str) -> tuple[float, float]:
     var = pairs * (s2 - s2 * s2 + 2 * (n - 2) * (s3 - s2 * s2))
     z = ((squares - n) / 2 - pairs * s2) / math.sqrt(var)
     text = _upper_normal(-z)
-    return fits, min(BINS / STEPS, -math.log10(max(text, 1e-300)))
+    return fits, min(BINS / STEPS, max(0.0, max(-math.log10(max(text, 1e-300)), walk_odds(token, k)) - math.log10(2)))
+
+
+def walk_odds(token: str, symbols: int) -> float:
+    """-log10 of a bound on the probability that text is as likely a uniform draw as this token."""
+    text = WALK[token[0]] + sum(WALK[a + b] for a, b in zip(token, token[1:]))
+    return -len(token) * math.log10(symbols) - text - math.log10(len(ALPHABETS))
 
 
 def length_band(n: int) -> int:
@@ -142,6 +191,8 @@ def candidates(text: str, base: list[tuple[int, int, str]]) -> list[dict]:
     out, i = [], 0
     by_end = sorted(base, key=lambda s: s[1])
     for m in TOKEN.finditer(text):
+        if m.end() - m.start() < MIN_LENGTH:
+            continue
         encoding = infer_encoding(m[0])
         if encoding is None:
             continue
