@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import decontam, exactdup, jaccard, licenses, pii, quality, secrets, substrings, tokens, toxicity
+from riskweave.llm import decontam, exactdup, jaccard, licenses, periodic, pii, quality, secrets, substrings, tokens, toxicity
 from riskweave.llm.common import documents
 
 
@@ -80,6 +80,39 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_groups(spark, f"{sf_dir}/documents.parquet").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def _planted(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: a tenth of the documents, told by the checksum of the id, gets a tail of repeated words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def plan(s: Column) -> Column:  # names bound once for the whole text
+        n = F.size(s.words).cast("long")
+        return F.struct(s.words, s.g, n.alias("n"), (s.g % n).alias("a"))
+
+    def tail(s: Column) -> Column:
+        period = 1 + F.floor((s.n - s.a) / (3 + s.g % 8))
+        return F.struct(s.words, s.n, s.a, period.alias("p"))
+
+    def repeat(s: Column) -> Column:
+        return F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), s.n - 1), lambda i: F.get(s.words, F.when(i < s.a, i).otherwise(s.a + (i - s.a) % s.p).cast("int"))), " ")
+
+    bound = F.array(F.struct(words.alias("words"), F.floor(h / 10).alias("g")))
+    for step in (plan, tail, repeat):
+        bound = F.transform(F.filter(bound, lambda s: F.size(s.words) > 0) if step is plan else bound, step)
+    return docs.select("doc_id", F.when(h % 10 == 0, F.coalesce(F.get(bound, 0), F.lit(""))).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(_planted(documents(spark, sf_dir)))
+    none = F.lit(None).cast(found.schema["runs"].dataType.elementType)
+    # by exact comparison of length / period; of equal ones the first stays
+    best = F.reduce("runs", none, lambda best, r: F.when(best.isNull() | (r.length * best.period > best.length * r.period), r).otherwise(best))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[k].cast("string") for k in ("start", "length", "period")]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -92,6 +125,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 SQL: dict[str, str] = {
     "op5_license_scan": licenses.SCAN_SQL.replace("FILES_TABLE", rf"""(
