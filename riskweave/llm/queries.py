@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import decontam, exactdup, jaccard, licenses, periodic, pii, quality, secrets, substrings, tokens, toxicity
+from riskweave.llm import decontam, divergence, exactdup, jaccard, licenses, periodic, pii, quality, secrets, substrings, tokens, toxicity
 from riskweave.llm.common import documents
 
 
@@ -76,6 +76,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_report(pii.find_personal_data(documents(spark, sf_dir)), pii.BASE_KINDS)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_groups(spark, f"{sf_dir}/documents.parquet").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -124,6 +128,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
+    "op11_source_divergence": op11_source_divergence,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -134,5 +139,6 @@ SQL: dict[str, str] = {
         FROM documents)""").replace("SELECT file, coalesce(license, their", "SELECT file AS doc_id, coalesce(license, their"),
     "op2_decontaminate": decontam.CONTAMINATED_SQL.replace("DOCUMENTS_TABLE", "documents"),
     "op4_quality_rules": quality.VERDICT_SQL.format(documents="documents"),
+    "op11_source_divergence": divergence.AUDIT_SQL.replace("DOCUMENTS_TABLE", "documents"),
     "op12_exact_dedup": exactdup.GROUPS_SQL.replace("DOCUMENTS_TABLE", "documents"),
 }
