@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -14,12 +12,12 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskweave.functions.columns import nan_inf_to_zero, risk_level
 from riskweave.functions.hashing import draw, pair56
 from riskweave.operators.fairness import classification_metrics, confusion
 from riskweave.operators.labels import unlearn_labels
+from riskweave.operators.neighbours import nearest_points
 from riskweave.operators.ranking import kth_values, smallest_k
 from riskweave.session import materialize
 
@@ -33,8 +31,6 @@ LABEL = "cascade_occurred"
 # Forest settings.
 FOREST = dict(numTrees=200, maxDepth=15, minInstancesPerNode=5, featureSubsetStrategy="sqrt",
               impurity="gini", seed=42)
-# Rows of a neighbour-search block.
-KNN_BLOCK = 2_000
 
 
 def training_matrix(df: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
@@ -99,42 +95,6 @@ def class_weight(df: DataFrame, label: str = LABEL) -> DataFrame:
     return df.join(weights, label)
 
 
-def _nearest(k: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Nearest other points inside one block of bounded size."""
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block = pd.concat(list(batches), ignore_index=True)
-        if block.empty:
-            return
-        points = np.stack(block["x"].to_numpy())
-        square = (points ** 2).sum(axis=1)
-        for start in range(0, len(points), 500):
-            part = points[start:start + 500]
-            gap = square[start:start + 500, None] + square[None, :] - 2 * part @ points.T
-            gap[np.arange(len(part)), np.arange(start, start + len(part))] = np.inf
-            order = np.argsort(gap, axis=1, kind="stable")[:, :min(k, len(points) - 1)]
-            yield pd.DataFrame({
-                "x": block["x"].iloc[start:start + 500].to_numpy(),
-                "near": [[points[j].tolist() for j in row] for row in order]})
-
-    return search
-
-
-def nearest_points(points: DataFrame, k: int, block: int = KNN_BLOCK) -> DataFrame:
-    """Distinct points ``x`` with up to ``k`` nearest others in ``near``.
-
-    One block searches all points exactly. More points are range-partitioned into blocks of
-    about ``block`` rows, distinct so that none outgrows it, and each block is searched alone.
-    """
-    n_blocks = max(1, -(-points.count() // block))
-    placed = points.coalesce(1) if n_blocks == 1 else points.repartitionByRange(
-        n_blocks, "x")
-    out = T.StructType([
-        T.StructField("x", T.ArrayType(T.DoubleType())),
-        T.StructField("near", T.ArrayType(T.ArrayType(T.DoubleType()))),
-    ])
-    return placed.mapInPandas(_nearest(k), out)
-
-
 def smote(
     df: DataFrame, label: str = LABEL, k: int = 5, seed: int = 42, ids: Sequence[str] = ("node_id",),
     features: str = "features",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskweave.functions import calendar, columns as C
 from riskweave.functions.hashing import draw
 from riskweave.operators import (
-    cascade, explain, fairness, graph, integrate, labels, learn, lsh, macro, privacy, ranking,
+    cascade, explain, fairness, graph, integrate, labels, learn, lsh, macro, neighbours, privacy, ranking,
     sketches, stats,
 )
 from riskweave.plans import tables as T
@@ -682,6 +682,16 @@ def smote(spark, sf):
     return balanced.groupBy(learn.LABEL).agg(F.count("*").alias("n"))
 
 
+@query
+def nearest_neighbours(spark, sf):
+    """Five nearest others of every distinct (price, size) of the parts."""
+    points = T.read(spark, sf, "part").select(F.array(F.col("p_retailprice").cast("double"), F.col("p_size").cast("double")).alias("x"))
+    near = neighbours.nearest_points(points, 5).select("x", F.posexplode("near").alias("place", "other"))
+    return near.select(
+        F.get("x", F.lit(0)).alias("price"), F.get("x", F.lit(1)).alias("size"), (F.col("place") + 1).cast("bigint").alias("rank"),
+        F.get("other", F.lit(0)).alias("near_price"), F.get("other", F.lit(1)).alias("near_size"))
+
+
 @query
 def train_forest(spark, sf):
     model = _model(spark, sf)

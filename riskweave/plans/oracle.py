@@ -633,6 +633,11 @@ SQL: dict[str, str] = {
         round((p_size - avg(p_size) over ()) / stddev_pop(p_size) over (), 7) as z_p_size from part""",
     "class_weight": "with " + PRED + """ select truth, round((select count(*) from pred) / ((select count(distinct truth) from pred) * count(*)), 9) as class_weight,
         count(*) as n from pred group by truth""",
+    "nearest_neighbours": """with p as (select distinct cast(p_retailprice as double) as a, cast(p_size as double) as b from part),
+        q as (select p.a as price, p.b as size, o.a as near_price, o.b as near_size,
+          row_number() over (partition by p.a, p.b order by (p.a - o.a) * (p.a - o.a) + (p.b - o.b) * (p.b - o.b), o.a, o.b) as rank
+          from p join p o on p.a <> o.a or p.b <> o.b)
+        select * from q where rank <= 5""",
     "forget": nodes("select node_id, node_type from nodes where not (node_type = 'bank' and coalesce(total_assets, 0) < 0)"),
     "verify_forgotten": nodes("select count(*) as requested, count(*) as forgotten from nodes where node_type = 'bank' and total_assets < 0"),
     "unified_stream": """

@@ -103,18 +103,6 @@ def test_smote_of_copies_and_of_balanced_classes(spark):
     assert learn.smote(even).count() == 2
 
 
-def test_nearest_points_of_one_block_are_exact(spark):
-    rng = np.random.default_rng(1)
-    data = rng.random((300, 4))
-    df = spark.createDataFrame([([float(v) for v in p],) for p in data], "x array<double>")
-    near = {tuple(r["x"]): r["near"] for r in learn.nearest_points(df, 5).collect()}
-    for p in data[:40]:
-        order = np.argsort(((data - p) ** 2).sum(axis=1))[1:6]
-        assert np.allclose(near[tuple(p)], data[order])
-    many = learn.nearest_points(df, 5, block=50)
-    assert many.count() == 300 and many.where(F.size("near") < 5).count() == 0
-
-
 def test_model_scores_and_survives_saving(spark, labelled, model, tmp_path):
     scored = learn.score(model, labelled)
     hits = scored.where("cascade_prediction = cascade_occurred").count()
