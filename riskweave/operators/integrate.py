@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskweave import schemas
 from riskweave.functions.columns import (
@@ -42,8 +43,14 @@ def _or(df: DataFrame, names: Sequence[str], dtype: str, default=None) -> Column
 
 
 def _seq(df: DataFrame) -> Column:
-    """Input order when the table carries one; equal otherwise, so values decide."""
-    return (F.col("seq") if "seq" in df.columns else F.lit(0)).cast("bigint").alias("_seq")
+    """Input order when the table carries one; equal otherwise, so values decide.
+
+    A position in the files (see ``read_table``) counts as it is, anything else as a number.
+    """
+    if "seq" not in df.columns:
+        return F.lit(0).cast("bigint").alias("_seq")
+    seq = F.col("seq")
+    return (seq if isinstance(df.schema["seq"].dataType, T.StructType) else seq.cast("bigint")).alias("_seq")
 
 
 def bank_nodes(profiles: DataFrame) -> DataFrame:

@@ -901,6 +901,31 @@ def graph_upsert_files(spark, sf):
     return upsert.graph_nodes(spark, f"{state}/nodes", f"{state}/ends")
 
 
+@query
+def first_rows_of_files(spark, sf):
+    """Orders as a stock table in files by date: each customer's first row stays, by its place alone."""
+    path = scratch_path(spark, "first-rows")
+    orders = T.read(spark, sf, "orders").orderBy("o_orderdate", "o_orderkey").select(
+        F.col("o_custkey").alias("symbol"), F.col("o_orderkey").cast("string").alias("company_name"), F.col("o_totalprice").alias("market_cap"))
+    writers.write_graph(orders, path)
+    table = readers.read_table(spark, path, readers.schemas.DATASETS["company_fundamentals"], position="seq")
+    return integrate.unified_nodes(fundamentals=table).select("ticker", "name", "market_cap")
+
+
+@query
+def last_rows_of_files(spark, sf):
+    """Events as node files, a user's rows in one file: the last row wins, missing values come from earlier ones."""
+    folder, state = scratch_path(spark, "node-files"), scratch_path(spark, "last-rows")
+    events = _events(spark, sf).select(
+        C.prefixed_key("USER", "user_id").alias("node_id"), F.col("event_type").alias("node_type"),
+        F.when(F.col("value") > 100, F.col("value")).alias("total_assets"), "event_id")
+    placed = events.repartition("node_id").sortWithinPartitions("event_id")
+    writers.write_graph(integrate.to_import_nodes(integrate.conform(placed, readers.schemas.NODES)), folder)
+    stream = readers.graph_stream(spark, folder, readers.schemas.NODES, arrival="arrived")
+    _finish(upsert.run_node_upsert(stream, state, scratch_path(spark, "stream"), "arrived"))
+    return upsert.state_values(upsert.read_state(spark, state, upsert.NODE_KEY), upsert.NODE_KEY).select("node_id", "node_type", "total_assets")
+
+
 @query
 def graph_round_trip(spark, sf):
     """Edges written as import CSV and read back typed."""

@@ -655,6 +655,10 @@ SQL: dict[str, str] = {
     "stream_reservoir": "select event_id, user_id from events order by md5('0|' || event_id), event_id limit 100",
     "graph_upsert_nodes": f"""select node_id, max_by(event_type, event_id) as last_type,
         max_by(value, event_id) filter (value > 100) as last_large from ({EVENT_NODES}) group by node_id""",
+    "first_rows_of_files": """select cast(o_custkey as varchar) as ticker, cast(min_by(o_orderkey, (o_orderdate, o_orderkey)) as varchar) as name,
+        min_by(o_totalprice, (o_orderdate, o_orderkey)) as market_cap from orders group by 1""",
+    "last_rows_of_files": f"""select node_id, max_by(event_type, event_id) as node_type,
+        max_by(value, event_id) filter (value > 100) as total_assets from ({EVENT_NODES}) group by node_id""",
     "graph_upsert_edges": tx("""select source_id, target_id, upper(relationship_type) as relationship_type, max_by(weight, seq) as weight
         from tx group by 1, 2, 3"""),
     "graph_upsert_files": nodes("select * from nodes"),

@@ -43,9 +43,10 @@ def run_unified_stream(
 def integrate(spark: SparkSession, data_root: str, out: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Read every dataset below ``data_root``, build the graph and write all its tables.
 
-    Any scheduler can call it again; every table is overwritten.
+    Of rows with one key the one that stands first in its file stays. Any scheduler can call it
+    again; every table is overwritten.
     """
-    data = load_datasets(spark, data_root)
+    data = load_datasets(spark, data_root, position="seq")
     if not data:
         raise FileNotFoundError(f"no dataset below {data_root}")
     nodes = materialize(ops.unified_nodes(
