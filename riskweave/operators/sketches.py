@@ -6,6 +6,7 @@ results merge in any order.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -83,12 +84,82 @@ def bloom_stats(
 
 def bloom_size(expected_items: int, false_positive_rate: float) -> tuple[int, int]:
     """Bits and hash count that hold the wanted rate."""
-    import math
-
     m = math.ceil(-expected_items * math.log(false_positive_rate) / math.log(2) ** 2)
     return m, max(1, round(m / max(expected_items, 1) * math.log(2)))
 
 
+# -- Bloom filter in parts --------------------------------------------------------------
+
+# Fixed value: bits of a part, the size of Spark's bitmaps.
+PART_BITS = 32_768
+
+
+def part_plan(expected_items: int, false_positive_rate: float) -> tuple[int, int]:
+    """Parts and hash count of a filter that holds the wanted rate; about half of its bits get set."""
+    bits = math.ceil(-max(1, expected_items) * math.log(false_positive_rate) / math.log(2) ** 2)
+    return -(-bits // PART_BITS), max(1, round(-math.log2(false_positive_rate)))
+
+
+def part_of_key(key: Column, parts: int, kind: str = "xx") -> Column:
+    return F.pmod(pair56(key, kind)[0], F.lit(parts)).alias("part")
+
+
+def part_positions(key: Column, parts: int, k: int, kind: str = "xx") -> Column:
+    """The ``k`` bits of a key inside its part, by double hashing with an odd step."""
+    first, second = pair56(key, kind)
+    start, step = F.call_function("div", first, F.lit(parts).cast("bigint")), F.lit(2) * second + F.lit(1)
+    return F.array(*[F.pmod(start + F.lit(i) * step, F.lit(PART_BITS)).cast("int") for i in range(k)])
+
+
+def part_words(placed: DataFrame, by: Sequence[str], bits: str = "bits") -> DataFrame:
+    """A bitmap of each group as an array of 64-bit ``words``; ``bits`` lists the bits a row sets.
+
+    Tasks set the bits of their own rows before the shuffle.
+    """
+    packed = placed.select(*by, F.explode(bits).alias("_bit")).groupBy(*by).agg(F.bitmap_construct_agg(F.col("_bit")).alias("_map"))
+    eight = F.transform(F.sequence(F.lit(0), F.lit(PART_BITS // 64 - 1)), lambda i: F.conv(F.hex(F.substring("_map", i * 8 + 1, F.lit(8))), 16, -10).cast("bigint"))
+    return packed.select(*by, eight.alias("words"))
+
+
+def all_set(words: Column, bits: Column) -> Column:
+    """Whether a bitmap has every one of the bits; false without a bitmap."""
+    def is_set(bit: Column) -> Column:
+        # eight bytes read as one number: the first byte is the highest
+        place = F.lit(56) - F.shiftright(bit, 3).bitwiseAND(7) * 8 + bit.bitwiseAND(7)
+        return F.call_function("shiftrightunsigned", F.get(words, F.shiftright(bit, 6)), place).bitwiseAND(1) == 1
+
+    return F.coalesce(F.forall(bits, is_set), F.lit(False))
+
+
+def either(a: Column, b: Column) -> Column:
+    return F.zip_with(a, b, lambda x, y: x.bitwiseOR(y))
+
+
+def part_filter(df: DataFrame, key: Column | str, parts: int, k: int, kind: str = "xx") -> DataFrame:
+    """Bloom filter as a table ``part, words``: 4 KiB for each part that holds a key."""
+    keys = df.select(col_of(key).alias("key")).where("key is not null")
+    return part_words(keys.select(part_of_key(F.col("key"), parts, kind), part_positions(F.col("key"), parts, k, kind).alias("bits")), ["part"])
+
+
+def part_contains(df: DataFrame, key: Column | str, filled: DataFrame, parts: int, k: int, kind: str = "xx") -> DataFrame:
+    """Each distinct key with ``maybe_present``; a key meets its own part only."""
+    keys = df.select(col_of(key).alias("key")).where("key is not null").distinct()
+    asked = keys.select("key", part_of_key(F.col("key"), parts, kind), part_positions(F.col("key"), parts, k, kind).alias("bits"))
+    return asked.join(filled, "part", "left").select("key", all_set(F.col("words"), F.col("bits")).alias("maybe_present"))
+
+
+def part_fill(filled: DataFrame) -> DataFrame:
+    """``part, bits_set`` of a filter."""
+    return filled.select("part", F.aggregate("words", F.lit(0).cast("bigint"), lambda n, w: n + F.bit_count(w)).alias("bits_set"))
+
+
+def counted_filter(df: DataFrame, key: Column | str, false_positive_rate: float = 0.01, kind: str = "xx") -> tuple[DataFrame, int, int]:
+    """A filter sized by the number of distinct keys, with its number of parts and hashes."""
+    n = df.select(F.count_distinct(col_of(key))).first()[0]
+    parts, k = part_plan(n, false_positive_rate)
+    return part_filter(df, key, parts, k, kind), parts, k
+
+
 def bloom_dedupe(
     df: DataFrame, key: Column | str, seq: str, rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:

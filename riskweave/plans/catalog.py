@@ -381,6 +381,21 @@ def bloom_contains(spark, sf):
     return sketches.bloom_contains(edges, sketches.edge_key(), bits, m=200_000, kind=KIND)
 
 
+@query
+def bloom_parts(spark, sf):
+    """Set bits in each part of a filter sized by the number of keys."""
+    filled, _, _ = sketches.counted_filter(T.edges(spark, sf), sketches.edge_key(), 1 / 128, kind=KIND)
+    return sketches.part_fill(filled)
+
+
+@query
+def bloom_parts_contains(spark, sf):
+    """Every edge key asked of a filter sized by the loan keys it holds."""
+    edges = materialize(T.edges(spark, sf), "edges")
+    filled, parts, k = sketches.counted_filter(edges.where("network_layer = 'banking'"), sketches.edge_key(), 1 / 128, kind=KIND)
+    return sketches.part_contains(edges, sketches.edge_key(), filled, parts, k, kind=KIND)
+
+
 @query
 def bloom_stats(spark, sf):
     return _round(sketches.bloom_stats(T.transactions(spark, sf), sketches.edge_key(), kind=KIND),
@@ -827,6 +842,16 @@ def stream_dedupe(spark, sf):
     return _run(stateful.stream_dedupe(pairs, ["user_id", "event_type"]), spark)
 
 
+@query
+def stream_bloom_dedupe(spark, sf):
+    """First sights of (user, type) by a filter of fixed size that hardly ever errs."""
+    state, out = scratch_path(spark, "bloom-state"), scratch_path(spark, "first-sights")
+    pairs = F.concat_ws("|", F.col("user_id").cast("string"), "event_type")
+    _finish(stateful.run_stream_bloom(
+        _replay(spark, _events(spark, sf), "event_id"), pairs, "event_id", state, out, scratch_path(spark, "stream"), 1_000_000, 1e-9, kind=KIND))
+    return stateful.first_sights(spark, out).select("event_id", "user_id", "event_type")
+
+
 def _last_update(stream, spark):
     """Run a one-row stream in update mode and read its last row."""
     out = scratch_path(spark, "updates")
@@ -854,7 +879,7 @@ def stream_dgim(spark, sf):
     _finish(stateful.run_stream_dgim(
         _replay(spark, _events(spark, sf), "event_id"), F.col("value") > 50, "event_id", ["user_id"],
         state, scratch_path(spark, "stream"), window=20))
-    buckets = stateful.stream_dgim_state(spark, state).where("ones is not null")
+    buckets = stateful.stream_dgim_state(spark, state, ["user_id"]).where("ones is not null")
     return sketches.dgim_stats(buckets, 20, ["user_id"])
 
 

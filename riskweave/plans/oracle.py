@@ -289,6 +289,14 @@ def _bits(key: str, source: str, m: int, k: int) -> str:
         ", ".join(f"(h1 + {i} * h2) % {m}" for i in range(k)), hashed)
 
 
+def _part_bits(source: str, held: str) -> str:
+    """``key, part, bit`` in a filter sized by the distinct keys of ``held`` for one error in 128."""
+    hashed = f"select distinct {_KEY} as key, {_hex(_KEY, 1, 14)} as h1, {_hex(_KEY, 15, 14)} as h2 from {source}"
+    parts = f"(select cast(ceil(ceil(count(distinct {_KEY}) * ln(128) / power(ln(2), 2)) / 32768) as bigint) from {held})"
+    return "select key, part, unnest([{}]) as bit from (select *, h1 % parts as part, h1 // parts as start from (select *, {} as parts from ({})))".format(
+        ", ".join(f"(start + {i} * (2 * h2 + 1)) % 32768" for i in range(7)), parts, hashed)
+
+
 _KEY = "source_id || '-' || target_id"
 
 
@@ -545,6 +553,9 @@ SQL: dict[str, str] = {
     "bloom_pack": graph(f"select cast(bit // 32768 + 1 as bigint) as bucket, count(distinct bit) as bits_set from ({_bits(_KEY, 'edges', 200000, 5)}) group by 1"),
     "bloom_contains": graph(f"""select p.key, bool_and(b.bit is not null) as maybe_present from ({_bits(_KEY, 'edges', 200000, 5)}) p
         left join (select distinct bit from ({_bits(_KEY, _LOANS, 200000, 5)})) b on p.bit = b.bit group by p.key"""),
+    "bloom_parts": graph(f"select part, count(distinct bit) as bits_set from ({_part_bits('edges', 'edges')}) group by part"),
+    "bloom_parts_contains": graph(f"""select p.key, bool_and(b.bit is not null) as maybe_present from ({_part_bits('edges', "edges where network_layer = 'banking'")}) p
+        left join (select distinct part, bit from ({_part_bits("edges where network_layer = 'banking'", "edges where network_layer = 'banking'")})) b using (part, bit) group by 1"""),
     "bloom_stats": tx(f"""select cast(10000 as bigint) as size, cast(5 as bigint) as hash_count, n as items_added, b as bits_set,
         round(b / 10000, 9) as fill_rate, round(pow(1 - exp(-5.0 * n / 10000), 5), 9) as estimated_fpr from (select
         (select count(distinct {_KEY}) from tx) as n, (select count(distinct bit) from ({_bits(_KEY, 'tx', 10000, 5)})) as b)"""),
@@ -649,6 +660,7 @@ SQL: dict[str, str] = {
         union all select 'sedc', '13f', null, null, null, cast(event_id as varchar), value from events where event_type = 'purchase'""",
     "replay_stream": "select event_id, user_id, event_type from events",
     "stream_dedupe": "select distinct user_id, event_type from events",
+    "stream_bloom_dedupe": "select min(event_id) as event_id, user_id, event_type from events group by 2, 3",
     "stream_distinct": _fm("cast(user_id as varchar)", "events"),
     "stream_dgim": "with " + EVENT_DGIM + """ select user_id, cast(20 as bigint) as window_size, max("current_time") as "current_time", count(*) as num_buckets,
         cast(sum(bucket_size) - floor(max(bucket_size) / 2) as bigint) as estimated_count from dgim group by user_id""",

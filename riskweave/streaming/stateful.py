@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from riskweave.functions.columns import col_of
 from riskweave.functions.hashing import base31, coefficients, linear_hash, order_key
 from riskweave.operators.sketches import (
-    FM_HASHES, RESERVOIR, WINDOW, bucket_starts, fm_estimate, running_counts, trailing_zeros,
+    FM_HASHES, PART_BITS, RESERVOIR, WINDOW, all_set, bucket_starts, either, fm_estimate, part_of_key, part_plan,
+    part_positions, part_words, running_counts, trailing_zeros,
 )
 from riskweave.sources.writers import child_names
+from riskweave.streaming import deltas
+from riskweave.streaming.deltas import MERGE_EVERY
 
 
 def version(batch_id: int) -> str:
@@ -60,6 +63,81 @@ def stream_dedupe(
     return timed.dropDuplicatesWithinWatermark(list(keys))
 
 
+# -- approximate duplicates in bounded state ----------------------------------------------
+
+def bloom_merge(rows: DataFrame) -> DataFrame:
+    """Filters of equal generation as one; generations before the last two of a part are forgotten."""
+    none = F.array_repeat(F.lit(0).cast("bigint"), PART_BITS // 64)
+    whole = rows.groupBy("part", "generation").agg(
+        F.sum("added").alias("added"), F.reduce(F.collect_list("words"), none, either).alias("words"))
+    newest = whole.groupBy("part").agg(F.max("generation").alias("_newest"))
+    return whole.join(newest, "part").where(F.col("generation") >= F.col("_newest") - 1).drop("_newest")
+
+
+def bloom_batch(
+    state: DataFrame | None, batch: DataFrame, key: Column | str, seq: str, parts: int, capacity: int, k: int, kind: str = "xx",
+) -> tuple[DataFrame, DataFrame]:
+    """First sights in a batch, and what they add to the state ``part, generation, added, words``.
+
+    Keys of a batch are reduced to their first row before anything else, so a key with most of the
+    rows costs one row per task. New keys of a part are numbered on from those it has; each
+    ``capacity`` of them fill one generation. A key is known if the newest or the
+    last full generation of its part holds it.
+    """
+    keyed = batch.withColumn("_key", col_of(key)).where("_key is not null")
+    first = keyed.groupBy("_key").agg(F.min_by(F.struct(*batch.columns), seq).alias("_row"), F.min(seq).alias("_seq"))
+    asked = first.select(part_of_key(F.col("_key"), parts, kind), part_positions(F.col("_key"), parts, k, kind).alias("bits"), "_seq", "_row")
+    if state is None:
+        fresh = asked.withColumn("_had", F.lit(0).cast("bigint"))
+    else:
+        # at most two generations of a part
+        held = state.groupBy("part").agg(
+            F.collect_list("words").alias("_held"), F.max(F.col("generation") * capacity + F.col("added")).alias("_had"))
+        met = asked.join(held, "part", "left")
+        known = F.coalesce(F.exists("_held", lambda words: all_set(words, F.col("bits"))), F.lit(False))
+        fresh = met.where(~known).withColumn("_had", F.coalesce("_had", F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("_seq", F.xxhash64("_row")))
+    fresh = fresh.withColumn("generation", F.call_function("div", F.col("_had") + place - 1, F.lit(capacity).cast("bigint")))
+    newest = F.max("generation").over(Window.partitionBy("part"))
+    lasting = fresh.withColumn("_newest", newest).where(F.col("generation") >= F.col("_newest") - 1)
+    added = lasting.groupBy("part", "generation").agg(F.count("*").alias("added"))
+    delta = part_words(lasting, ["part", "generation"]).join(added, ["part", "generation"]).select("part", "generation", "added", "words")
+    return fresh.select("_row.*"), delta
+
+
+def run_stream_bloom(
+    stream: DataFrame, key: Column | str, seq: str, state_dir: str, out_dir: str, checkpoint: str,
+    expected_items: int, false_positive_rate: float = 0.01, kind: str = "xx", once: bool = True, merge_every: int = MERGE_EVERY,
+) -> StreamingQuery:
+    """First sight of every key with a state of fixed size: a Bloom filter in parts, in generations.
+
+    The state never exceeds two generations of ``expected_items`` keys at about ten bits a key for
+    one per cent, whatever the stream's length. At least the last ``expected_items`` keys (spread
+    evenly over the parts) are remembered; an older key may be passed again. A new key is
+    withheld with at most ``false_positive_rate``, half of it for each generation.
+    First sights are appended to ``out_dir``, one folder per batch; a batch that runs again after a
+    failure replaces its folder and its part of the state.
+    """
+    spark = stream.sparkSession
+    parts, k = part_plan(expected_items, false_positive_rate / 2)
+    capacity = -(-expected_items // parts)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        state = deltas.read(spark, state_dir, bloom_merge, batch_id - 1)
+        fresh, delta = bloom_batch(state, batch, key, seq, parts, capacity, k, kind)
+        fresh.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id:012d}")
+        deltas.put(spark, delta, batch_id, state_dir, bloom_merge, merge_every)
+
+    return _start(stream, write, checkpoint, once)
+
+
+def first_sights(spark: SparkSession, out_dir: str) -> DataFrame:
+    """All rows passed so far."""
+    return spark.read.parquet(out_dir).drop("batch")
+
+
+# -- sliding count ------------------------------------------------------------------------
+
 def add_dgim_batch(
     state: DataFrame | None, batch: DataFrame, bit: Column | str, seq: str, by: Sequence[str],
     window: int = WINDOW, span: int = 1_000_000,
@@ -93,29 +171,42 @@ def add_dgim_batch(
         alive.select(*by, "bucket_size", "ones", "bucket_end"), by, "left")
 
 
+def newest_of(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Of every shard the rows that its last batch wrote."""
+    last = rows.groupBy(*by).agg(F.max("version").alias("version"))
+    return rows.join(last, [*by, "version"], "left_semi")
+
+
 def run_stream_dgim(
     stream: DataFrame, bit: Column | str, seq: str, by: Sequence[str], state_dir: str, checkpoint: str,
-    window: int = WINDOW, span: int = 1_000_000, once: bool = True,
+    window: int = WINDOW, span: int = 1_000_000, once: bool = True, merge_every: int = MERGE_EVERY,
 ) -> StreamingQuery:
     """Approximate ones among the last ``window`` items of every shard.
 
-    Items count in order of arrival: by batch, and by ``seq`` inside one.
+    Items count in order of arrival: by batch, and by ``seq`` inside one. A batch reads and writes
+    the buckets of the shards it touches; the others stay where they are.
     """
     spark: SparkSession = stream.sparkSession
+    by = list(by)
+
+    def merge(rows: DataFrame) -> DataFrame:
+        return newest_of(rows, by)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        before = latest_version(spark, state_dir, batch_id)
-        state = spark.read.parquet(before) if before else None
-        add_dgim_batch(state, batch, bit, seq, by, window, span).write.mode("overwrite").parquet(
-            f"{state_dir}/{version(batch_id)}")
-        drop_older(spark, state_dir, batch_id)
+        state = deltas.read(spark, state_dir, merge, batch_id - 1)
+        batch = batch.persist()
+        if state is not None:
+            state = state.drop("version").join(batch.select(*by).distinct(), by, "left_semi")
+        delta = add_dgim_batch(state, batch, bit, seq, by, window, span).withColumn("version", F.lit(batch_id).cast("bigint"))
+        deltas.put(spark, delta, batch_id, state_dir, merge, merge_every)
+        batch.unpersist()
 
     return _start(stream, write, checkpoint, once)
 
 
-def stream_dgim_state(spark: SparkSession, state_dir: str) -> DataFrame:
+def stream_dgim_state(spark: SparkSession, state_dir: str, by: Sequence[str]) -> DataFrame:
     """Newest bucket state; ``dgim_stats`` of its rows with a bucket gives the estimates."""
-    return spark.read.parquet(latest_version(spark, state_dir))
+    return deltas.read(spark, state_dir, lambda rows: newest_of(rows, by)).drop("version")
 
 
 def stream_distinct(stream: DataFrame, col: str, h: int = FM_HASHES, kind: str = "xx", seed: int = 0) -> DataFrame:

@@ -127,7 +127,7 @@ def test_stream_dgim_equals_the_batch_state(spark, tmp_path):
     df = spark.createDataFrame(data, "seq long, shard string, bit int")
     stream = readers.replay_stream(spark, df, f"{tmp_path}/in", 4, "seq")
     stateful.run_stream_dgim(stream, "bit", "seq", ["shard"], f"{tmp_path}/s", f"{tmp_path}/ck", 64, span=40).awaitTermination()
-    state = stateful.stream_dgim_state(spark, f"{tmp_path}/s")
+    state = stateful.stream_dgim_state(spark, f"{tmp_path}/s", ["shard"])
     cols = ["shard", "bucket_size", "bucket_end", "current_time"]
     batch = sketches.dgim(df, "bit", "seq", 64, ["shard"])
     assert sorted(state.where("ones is not null").select(*cols).collect()) == sorted(batch.select(*cols).collect())
