@@ -18,7 +18,7 @@ from riskweave.functions.hashing import draw, pair56
 from riskweave.operators.fairness import classification_metrics, confusion
 from riskweave.operators.labels import unlearn_labels
 from riskweave.operators.neighbours import nearest_points
-from riskweave.operators.ranking import kth_values, smallest_k
+from riskweave.operators.ranking import smallest_by, smallest_k, values_at
 from riskweave.session import materialize
 
 # Fixed value: model inputs in order.
@@ -49,19 +49,13 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split`` (train / test) with the exact test share in every class.
 
-    Rows are chosen by a hash of their id below a cut found per class.
+    Rows are chosen by a hash of their id below a cut; the cuts of all classes are found together.
     """
     text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in ids])
     hashed = materialize(df.withColumn("_h", pair56(text, kind)[0]), "hashed")
-    parts = None
-    for row in hashed.groupBy(label).agg(F.count("*").alias("n")).collect():
-        own = hashed.where(F.col(label).eqNullSafe(F.lit(row[label])))
-        n_test = int(row["n"] * test_share + 0.5)
-        test = smallest_k(own, "_h", ids, n_test).select(*ids, F.lit("test").alias("_split"))
-        parts = test if parts is None else parts.unionByName(test)
-    if parts is None:  # no rows, no classes
-        return hashed.drop("_h").withColumn("split", F.lit("train"))
-    return hashed.join(parts, list(ids), "left").withColumn(
+    sizes = hashed.groupBy(label).agg(F.floor(F.count("*") * F.lit(test_share) + 0.5).alias("n"))
+    test = smallest_by(hashed.select(label, "_h", *ids), [label], "_h", ids, sizes).select(*ids, F.lit("test").alias("_split"))
+    return hashed.join(test, list(ids), "left").withColumn(
         "split", F.coalesce("_split", F.lit("train"))).drop("_h", "_split")
 
 
@@ -165,13 +159,12 @@ def cross_validate_f1(
     """Mean and deviation of the positive-class F1 over equal folds of each class."""
     clean = training_matrix(df, cols).withColumn("_h", _hash(seed, *ids))
     clean = materialize(clean, "train")
-    fold = F.lit(0)
-    for row in clean.groupBy(label).count().collect():
-        own = clean.where(F.col(label) == row[label])
-        cuts = kth_values(own, "_h", [row["count"] * i // folds for i in range(1, folds)])
-        place = sum((F.when(F.col("_h") >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
-        fold = F.when(F.col(label) == row[label], place).otherwise(fold)
-    folded = class_weight(clean.withColumn("fold", fold), label)
+    sizes = clean.groupBy(label).agg(F.count("*").alias("n"))
+    wanted = sizes.select(label, F.explode(F.transform(F.sequence(F.lit(1), F.lit(folds - 1)), lambda i: F.call_function("div", F.col("n") * i, F.lit(folds).cast("bigint")))).alias("k")).distinct()
+    cuts = values_at(clean.select(label, "_h"), [label], "_h", wanted).groupBy(label).agg(F.collect_list("value").alias("_cuts"))
+    placed = clean.join(cuts, clean[label].eqNullSafe(cuts[label]), "left").select(*[clean[c] for c in clean.columns], "_cuts")
+    fold = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("_h"))), F.lit(0))
+    folded = class_weight(placed.withColumn("fold", fold).drop("_cuts"), label)
     scaled = materialize(
         standard_scale(clean, cols).transform(folded).select(label, "features", "fold", "class_weight"), "folds")
     forest = RandomForestClassifier(

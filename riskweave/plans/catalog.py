@@ -659,10 +659,20 @@ def largest(spark, sf):
 @query
 def quantile(spark, sf):
     lines = T.read(spark, sf, "lineitem")
-    rows = [(p, ranking.quantile(lines, "l_extendedprice", p)) for p in (0.5, 0.85, 0.9)]
+    ps = (0.5, 0.85, 0.9)
+    rows = list(zip(ps, ranking.quantiles(lines, "l_extendedprice", ps)))
     return _round(spark.createDataFrame(rows, "p double, value double"), 6, "value")
 
 
+@query
+def values_at_ranks(spark, sf):
+    """First, middle and last event value of every user, all users in one set of passes."""
+    events = T.read(spark, sf, "events").where("value is not null").select("user_id", "value")
+    sizes = events.groupBy("user_id").agg(F.count("*").alias("n"))
+    wanted = sizes.select("user_id", F.explode(F.array_distinct(F.array(F.lit(0).cast("bigint"), F.call_function("div", F.col("n"), F.lit(2).cast("bigint")), F.col("n") - 1))).alias("k"))
+    return ranking.values_at(events, ["user_id"], "value", wanted)
+
+
 # -- models -----------------------------------------------------------------------------
 
 @query

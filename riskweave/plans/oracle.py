@@ -638,6 +638,8 @@ SQL: dict[str, str] = {
     "largest": "select c_custkey, c_acctbal from customer order by c_acctbal desc, c_custkey limit 100",
     "quantile": " union all ".join(
         f"select {p}::double as p, round(quantile_cont(l_extendedprice, {p}), 6) as value from lineitem" for p in (0.5, 0.85, 0.9)),
+    "values_at_ranks": """select user_id, k, value from (select user_id, value, row_number() over (partition by user_id order by value) - 1 as k,
+        count(*) over (partition by user_id) as n from events where value is not null) where k in (0, n // 2, n - 1)""",
     "stratified_split": f"""select c_custkey, c_mktsegment, case when row_number() over (partition by c_mktsegment order by {_hex("'42|' || c_custkey", 1, 14)}, c_custkey)
         <= floor(count(*) over (partition by c_mktsegment) * 0.3 + 0.5) then 'test' else 'train' end as split from customer""",
     "standard_scale": """select p_partkey, round((p_retailprice - avg(p_retailprice) over ()) / stddev_pop(p_retailprice) over (), 7) as z_p_retailprice,
