@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.operators.skew import ROWS_PER_SPLIT, split_join
+from riskweave.operators.skew import PAIRS_PER_CELL, ROWS_PER_SPLIT, grid_join, sized_join
 
 LISTED, OWNED = "PUBLICLY_TRADED_AS", "equity_ownership"
 
@@ -31,22 +31,22 @@ def _stocks(nodes: DataFrame) -> DataFrame:
         F.col("node_id").alias("stock"), "ticker", "sector", "market_cap")
 
 
-def _forced_sales(first: DataFrame, holdings: DataFrame, rows_per_split: int) -> DataFrame:
+def _forced_sales(first: DataFrame, holdings: DataFrame, pairs_per_cell: int) -> DataFrame:
     """Per (bank, stock): summed weight and path count of what the bank's holders own.
 
-    Parallel edges are reduced on both sides before they meet, and an investor with a large
-    book is spread over several tasks. ``first`` is (bank, stock1, investor, paths).
+    Parallel edges are reduced on both sides before they meet. An investor with a large book that
+    many banks reach is cut on both sides. ``first`` is (bank, stock1, investor, paths).
     """
     book = holdings.groupBy("investor", "stock").agg(
         F.sum(F.col("weight").cast("decimal(28,2)")).alias("w"))
-    reached = split_join(book, first, ["investor"], rows_per_split).where("stock <> stock1")
+    reached = grid_join(book, first, ["investor"], pairs_per_cell).where("stock <> stock1")
     return reached.groupBy("bank", "stock").agg(
         F.sum(F.col("w") * F.col("paths").cast("decimal(10,0)")).alias("impact"))
 
 
 def cascade_impact(
     nodes: DataFrame, edges: DataFrame, banks: DataFrame | None = None,
-    require_all_hops: bool = False, rows_per_split: int = ROWS_PER_SPLIT,
+    require_all_hops: bool = False, rows_per_split: int = ROWS_PER_SPLIT, pairs_per_cell: int = PAIRS_PER_CELL,
 ) -> DataFrame:
     """Impact rows of every asked bank over three hops.
 
@@ -67,13 +67,13 @@ def cascade_impact(
     ticker, sector = F.col("ticker"), F.col("sector")
     hop1 = listings.join(stocks, "stock").select(
         *row(1, "stock", ticker, ticker, "Direct Crash", F.col("market_cap"), sector))
-    owned = holdings.join(listings, "stock")
-    hop2 = owned.join(people, "investor").select(
+    owned = sized_join(holdings, listings, ["stock"], rows_per_split)
+    hop2 = sized_join(owned, people, ["investor"], rows_per_split).select(
         *row(2, "investor", F.col("investor"), F.col("investor_name"), "Portfolio Loss",
              F.col("weight"), F.lit("Investment")))
     first = owned.groupBy("bank", F.col("stock").alias("stock1"), "investor").agg(
         F.count("*").alias("paths"))
-    hop3 = _forced_sales(first, holdings, rows_per_split).join(stocks, "stock").select(
+    hop3 = _forced_sales(first, holdings, pairs_per_cell).join(stocks, "stock").select(
         *row(3, "stock", ticker, ticker, "Forced Selling", F.col("impact").cast("double"), sector))
     out = hop1.unionByName(hop2).unionByName(hop3)
     if require_all_hops:
@@ -84,7 +84,7 @@ def cascade_impact(
 
 def cascade_summary(
     nodes: DataFrame, edges: DataFrame, banks: DataFrame | None = None,
-    rows_per_split: int = ROWS_PER_SPLIT,
+    rows_per_split: int = ROWS_PER_SPLIT, pairs_per_cell: int = PAIRS_PER_CELL,
 ) -> DataFrame:
     """Per bank: distinct listed stocks, holders and other stocks of those holders.
 
@@ -97,12 +97,12 @@ def cascade_summary(
         everyone = everyone.join(banks.select(F.col("institution_id").alias("bank")), "bank", "left_semi")
     listings, holdings = _listings(nodes, edges, banks), _holdings(edges)
     direct = listings.distinct().groupBy("bank").agg(F.count("*").alias("direct_stocks"))
-    first = holdings.join(listings, "stock").select(
+    first = sized_join(holdings, listings, ["stock"], rows_per_split).select(
         "bank", F.col("stock").alias("stock1"), "investor").distinct()
     investors = first.select("bank", "investor").distinct().groupBy("bank").agg(
         F.count("*").alias("affected_investors"))
     book = holdings.select("investor", "stock").distinct()
-    second = split_join(book, first, ["investor"], rows_per_split).where("stock <> stock1").select(
+    second = grid_join(book, first, ["investor"], pairs_per_cell).where("stock <> stock1").select(
         "bank", "stock").distinct().groupBy("bank").agg(F.count("*").alias("cascade_stocks"))
     counts = ["direct_stocks", "affected_investors", "cascade_stocks"]
     out = everyone
@@ -141,14 +141,14 @@ def systemic_ranking(nodes: DataFrame, edges: DataFrame, banks: DataFrame) -> Da
 
 def sector_breakdown(
     nodes: DataFrame, edges: DataFrame, banks: DataFrame | None = None, k: int = 3,
-    rows_per_split: int = ROWS_PER_SPLIT,
+    rows_per_split: int = ROWS_PER_SPLIT, pairs_per_cell: int = PAIRS_PER_CELL,
 ) -> DataFrame:
     """Per bank and sector: distinct stocks hit by forced selling, groups below ``k`` left out."""
     listings, holdings = _listings(nodes, edges, banks), _holdings(edges)
-    first = holdings.join(listings, "stock").select(
+    first = sized_join(holdings, listings, ["stock"], rows_per_split).select(
         "bank", F.col("stock").alias("stock1"), "investor").distinct()
     book = holdings.select("investor", "stock").distinct()
-    reached = split_join(book, first, ["investor"], rows_per_split).where("stock <> stock1").select(
+    reached = grid_join(book, first, ["investor"], pairs_per_cell).where("stock <> stock1").select(
         "bank", "stock").distinct()
     return reached.join(_stocks(nodes).select("stock", "sector"), "stock").groupBy("bank", "sector").agg(
         F.count("*").alias("affected_count")).where(F.col("affected_count") >= k)

@@ -31,7 +31,7 @@ def network(spark):
 
 @pytest.mark.parametrize("size", [1, 1_000_000])
 def test_three_hops(network, size):
-    rows = cascade.cascade_impact(*network, rows_per_split=size).where("bank = 'A'").collect()
+    rows = cascade.cascade_impact(*network, rows_per_split=size, pairs_per_cell=size).where("bank = 'A'").collect()
     got = sorted((r["hop"], r["entity_id"], r["impact_value"]) for r in rows)
     # The two parallel first edges repeat the path through the first holder.
     assert got == [(1, "A", 100.0), (2, "INST_1", 3.0), (2, "INST_1", 4.0), (2, "INST_2", 5.0),
