@@ -30,7 +30,7 @@ from riskweave.operators.skew import sized_join
 from riskweave.session import materialize
 
 #: Entries of a block that a task counts before it writes a run, and rows of a batch it writes.
-BLOCK, BATCH = 400_000, 50_000
+BLOCK, BATCH = 800_000, 50_000
 #: Bytes of a text that are cut into terms at a time.
 PIECE = 1 << 20
 #: Least number of documents of a language that have a kept term; ranks of the term report.
@@ -66,12 +66,16 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     docs: dict[tuple[str, str], Counter] = {}
 
     def spilled() -> Iterator[pa.RecordBatch]:
-        rows = sorted((lang, term, source, n, docs[lang, source][term]) for (lang, source), terms in counts.items() for term, n in terms.items())
+        tables = []
+        for key, terms in counts.items():
+            n = len(terms)
+            columns = [pa.repeat(key[0], n), pa.array(terms, pa.binary()).cast(pa.string()), pa.repeat(key[1], n), pa.array(terms.values(), pa.int64()), pa.array(map(docs[key].__getitem__, terms), pa.int64())]
+            tables.append(pa.table(columns, schema=RUNS))
         counts.clear()
         docs.clear()
-        for i in range(0, len(rows), BATCH):
-            langs, terms, sources, *numbers = zip(*rows[i:i + BATCH], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(langs), pa.array([t.decode() for t in terms]), pa.array(sources), *[pa.array(v, pa.int64()) for v in numbers]], schema=RUNS)
+        if tables:
+            run = pa.concat_tables(tables).sort_by([(name, "ascending") for name, _ in _KEYS])
+            yield from run.combine_chunks().to_batches(BATCH)
 
     held = 0
     for batch in batches:
