@@ -132,13 +132,20 @@ def index_graph(nodes: DataFrame, edges: DataFrame, rows_per_split: int = ROWS_P
     return IndexedGraph(ids, materialize(links.select("src", "dst", "m"), "links"), ids.count())
 
 
-def clustering(nodes: DataFrame, edges: DataFrame, indexed: IndexedGraph | None = None) -> DataFrame:
+# Neighbours that one row holds; longer lists are cut.
+NEIGHBOURS_PER_ROW = 10_000
+
+
+def clustering(
+    nodes: DataFrame, edges: DataFrame, indexed: IndexedGraph | None = None, piece: int = NEIGHBOURS_PER_ROW,
+) -> DataFrame:
     """Directed edges among a node's neighbours over the ordered neighbour pairs.
 
     Undirected pairs are oriented from the end with fewer neighbours to the other, so a node
-    keeps at most sqrt(2 * pairs) outgoing pairs and hubs emit few candidate triangles. Each
-    triangle adds to a corner the number of directed edges on the opposite side. A self loop
-    makes the node its own neighbour, and its links then count as links among neighbours.
+    keeps at most sqrt(2 * pairs) outgoing pairs and hubs few candidates. A link intersects the
+    out-neighbours of its two ends as arrays; pairs of neighbours that are not linked never become
+    rows. Each triangle adds to a corner the number of directed edges on the opposite side. A self
+    loop makes the node its own neighbour, and its links then count as links among neighbours.
     """
     g = indexed or index_graph(nodes, edges)
     proper = materialize(g.links.where("src <> dst").groupBy(
@@ -157,15 +164,24 @@ def clustering(nodes: DataFrame, edges: DataFrame, indexed: IndexedGraph | None
         F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("v"),
         F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("x"), "m"), "oriented")
 
-    left = oriented.select("v", "x", F.col("m").alias("m_vx"))
-    right = oriented.select("v", F.col("x").alias("y"), F.col("m").alias("m_vy"))
-    wedges = left.join(right, "v").where("x < y")
-    closing = proper.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("m").alias("m_xy"))
-    corners = wedges.join(closing, ["x", "y"]).select(F.inline(F.array(
-        F.struct(F.col("v").alias("id"), F.col("m_xy").alias("opposite")),
-        F.struct(F.col("x").alias("id"), F.col("m_vy").alias("opposite")),
-        F.struct(F.col("y").alias("id"), F.col("m_vx").alias("opposite")),
-    )))
+    # out-neighbours of each node as arrays, and those that are linked both ways; pieces bound a row
+    place = F.floor((F.row_number().over(Window.partitionBy("v").orderBy("x")) - 1) / piece)
+    out = materialize(oriented.withColumn("_piece", place).groupBy("v", "_piece").agg(
+        F.collect_list("x").alias("ids"), F.collect_list(F.when(F.col("m") > 1, F.col("x"))).alias("both"),
+        F.collect_list("m").alias("ms")), "neighbours")
+    # each link takes the neighbours of its low end to its high end; only common ones become rows
+    near = out.select("v", F.explode(F.arrays_zip("ids", "ms")).alias("to")).select("v", F.col("to.ids").alias("x"), F.col("to.ms").alias("m_vx"))
+    own = out.select("v", F.col("ids").alias("ids_v"), F.col("both").alias("both_v"))
+    carried = sized_join(near, own, ["v"])
+    met = sized_join(carried, out.select(F.col("v").alias("x"), "ids", "both"), ["x"])
+    shared = F.array_intersect("ids_v", "ids")
+    closed = met.select("v", "x", "m_vx", shared.alias("shared"), "both", "both_v").where(F.size("shared") > 0)
+    count = F.size("shared").cast("bigint")
+    corners = closed.select(F.explode(F.concat(
+        F.array(
+            F.struct(F.col("v").alias("id"), (count + F.size(F.array_intersect("shared", "both"))).alias("opposite")),
+            F.struct(F.col("x").alias("id"), (count + F.size(F.array_intersect("shared", "both_v"))).alias("opposite"))),
+        F.transform("shared", lambda y: F.struct(y.alias("id"), F.col("m_vx").alias("opposite"))))).alias("c")).select("c.id", "c.opposite")
     between = corners.groupBy("id").agg(F.sum("opposite").alias("between"))
     loops = g.links.where("src = dst").select(F.col("src").alias("id"), F.lit(1).alias("loop"))
     joined = (

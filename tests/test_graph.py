@@ -4,6 +4,7 @@ import math
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from riskweave.operators import graph
@@ -170,3 +171,20 @@ def test_exposure_keeps_small_weights(spark):
     nodes = spark.createDataFrame([("a",), ("b",)], "node_id string")
     got = {r.node_id: (r.incoming_exposure, r.outgoing_exposure) for r in graph.exposure(nodes, edges).collect()}
     assert got == {"a": (1e-9, 0.012), "b": (0.012, 1e-9)}
+
+
+def test_clustering_with_neighbour_lists_in_pieces(spark):
+    """Dense and two-way links; every piece meets every other."""
+    rng = np.random.default_rng(8)
+    pairs = {(int(a), int(b)) for a, b in rng.integers(0, 25, (260, 2))}
+    edges = spark.createDataFrame([(f"n{a}", f"n{b}", "x", 1.0) for a, b in pairs], "source_id string, target_id string, relationship_type string, weight double")
+    nodes = spark.createDataFrame([(f"n{i}",) for i in range(26)], "node_id string")
+    around = {i: {b for a, b in pairs if a == i} | {a for a, b in pairs if b == i} for i in range(26)}
+    want = {}
+    for i, near in around.items():
+        k = len(near)
+        inside = sum((a, b) in pairs for a in near for b in near if a != b)
+        want[f"n{i}"] = inside / (k * (k - 1)) if k > 1 else 0.0
+    for piece in (1, 3, 10_000):
+        got = {r["node_id"]: r["clustering_coefficient"] for r in graph.clustering(nodes, edges, piece=piece).collect()}
+        assert got == pytest.approx(want)
