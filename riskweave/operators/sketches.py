@@ -345,7 +345,7 @@ def stream_summary(
         F.coalesce(F.sum("high"), F.lit(0)).cast("bigint").alias("high_risk_edges"))
 
 
-def edge_stream_report(edges: DataFrame, seq: str, limit: float = HIGH_RISK_LIMIT) -> DataFrame:
+def edge_stream_report(edges: DataFrame, seq: str, limit: float = HIGH_RISK_LIMIT, kind: str = "xx") -> DataFrame:
     """All sketch statistics of an edge stream as one nested row."""
     flag = high_risk_flag("weight", limit)
 
@@ -357,10 +357,10 @@ def edge_stream_report(edges: DataFrame, seq: str, limit: float = HIGH_RISK_LIMI
     sliding = dgim_stats(dgim(edges, flag, seq)).withColumn(
         "current_time", edges.agg(F.count("*")).scalar())
     return reservoir_stats(edges).select(F.struct("*").alias("reservoir")).select(
-        one(bloom_stats(edges, key)).alias("bloom_filter"),
+        one(bloom_stats(edges, key, kind=kind)).alias("bloom_filter"),
         one(sliding).alias("dgim"),
-        one(fm_distinct(edges, "source_id")).alias("flajolet_martin_src"),
-        one(fm_distinct(edges, "target_id")).alias("flajolet_martin_dst"),
+        one(fm_distinct(edges, "source_id", kind=kind)).alias("flajolet_martin_src"),
+        one(fm_distinct(edges, "target_id", kind=kind)).alias("flajolet_martin_dst"),
         "reservoir",
         one(stream_summary(edges, key, "weight", limit)).alias("summary"),
     )

@@ -463,8 +463,13 @@ def stream_summary(spark, sf):
 
 @query
 def edge_stream_report(spark, sf):
-    report = sketches.edge_stream_report(materialize(T.transactions(spark, sf), "stream"), "seq")
-    return report.select(F.to_json(F.struct("*")).alias("report"))
+    """The numbers of the report, a column each."""
+    report = sketches.edge_stream_report(materialize(T.transactions(spark, sf), "stream"), "seq", kind=KIND)
+    return report.select(
+        "bloom_filter.items_added", "bloom_filter.bits_set", "dgim.current_time", "dgim.num_buckets", "dgim.estimated_count",
+        F.col("flajolet_martin_src.estimated_cardinality").alias("distinct_sources"),
+        F.col("flajolet_martin_dst.estimated_cardinality").alias("distinct_targets"),
+        "reservoir.current_sample_size", "summary.edges_processed", "summary.duplicates_detected", "summary.high_risk_edges")
 
 
 # -- similarity -------------------------------------------------------------------------

@@ -571,6 +571,11 @@ SQL: dict[str, str] = {
     "reservoir": tx("select seq, source_id, target_id, relationship_type, weight from tx order by md5('0|' || seq), seq limit 100"),
     "reservoir_stats": tx("""select cast(100 as bigint) as reservoir_size, count(*) as items_processed,
         cast(least(count(*), 100) as bigint) as current_sample_size, 100.0::double / count(*) as sampling_probability from tx"""),
+    "edge_stream_report": tx(f"""select u.keys as items_added, b.bits_set, u.n as "current_time", d.num_buckets, d.estimated_count, s.estimated_cardinality as distinct_sources,
+        t.estimated_cardinality as distinct_targets, cast(least(u.n, 100) as bigint) as current_sample_size, u.n as edges_processed, u.n - u.keys as duplicates_detected, u.high as high_risk_edges
+        from (select count(*) as n, count(distinct {_KEY}) as keys, count_if(weight > 1e9) as high from tx) u, (select count(distinct bit) as bits_set from ({_bits(_KEY, 'tx', 10000, 5)})) b,
+        (select count(*) as num_buckets, cast(coalesce(sum(bucket_size) - floor(max(bucket_size) / 2), 0) as bigint) as estimated_count from dgim) d,
+        ({_fm('source_id', 'tx')}) s, ({_fm('target_id', 'tx')}) t""", DGIM),
     "stream_summary": tx(f"select count(*) as edges_processed, count(*) - count(distinct {_KEY}) as duplicates_detected, "
                          "count_if(weight > 1e9) as high_risk_edges from tx"),
     "minhash_signature": graph(f"select entity, concat_ws('_', {_ALL}) as signature from sigs", SIGNATURES),
@@ -646,6 +651,8 @@ SQL: dict[str, str] = {
         round((p_size - avg(p_size) over ()) / stddev_pop(p_size) over (), 7) as z_p_size from part""",
     "class_weight": "with " + PRED + """ select truth, round((select count(*) from pred) / ((select count(distinct truth) from pred) * count(*)), 9) as class_weight,
         count(*) as n from pred group by truth""",
+    "smote": features("""select cascade_occurred, max(n) over () as n from (
+        select cascade_occurred, count(*) - cast(floor(count(*) * 0.3 + 0.5) as bigint) as n from labels group by 1)""", RISK, _labels(_EXPOSED)),
     "nearest_neighbours": """with p as (select distinct cast(p_retailprice as double) as a, cast(p_size as double) as b from part),
         q as (select p.a as price, p.b as size, o.a as near_price, o.b as near_size,
           row_number() over (partition by p.a, p.b order by (p.a - o.a) * (p.a - o.a) + (p.b - o.b) * (p.b - o.b), o.a, o.b) as rank
