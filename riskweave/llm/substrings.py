@@ -15,7 +15,8 @@ occurrences in the parse, neighbours in this order tell which strings start in t
 
 *Hot keys.* Occurrences are counted with map-side sums. Phrases that hold a large share of the parse
 (few can, see ``skewed``) are joined by broadcast. A trigger with more than
-``GROUP`` distinct phrases is not gathered: its strings are counted by fingerprint over all tasks.
+``GROUP`` distinct phrases is not gathered at once: its phrases are halved around the trigger, and the
+halves meet only where they share a core, which grows with every halving.
 
 Null texts are empty and lose nothing; texts under ``length`` bytes neither. Equal rows are separate
 documents that repeat each other.
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -76,18 +78,22 @@ class Parser:
         at = np.arange(len(data) - self.length + 1)
         return tuple(self.between(i, s, at, at + self.length) for i, s in enumerate(self.sums(data)))
 
+    def windows(self, sums: list[np.ndarray], size: int) -> np.ndarray:
+        """Rolling hash of the ``trigger`` bytes that start at each place."""
+        at = np.arange(size - self.trigger + 1)
+        rolling = self.between(0, sums[0], at, at + self.trigger)
+        rolling ^= rolling >> np.uint64(31)
+        rolling *= np.uint64(0xD6E8FEB86659FD93)
+        return rolling ^ rolling >> np.uint64(29)
+
     def phrases(self, text: bytes) -> Iterator[tuple[np.ndarray, ...]]:
         """Per segment: start, number of strings, trigger hash and the two hashes of each phrase."""
         whole = np.frombuffer(text, np.uint8)
         for base in range(0, len(whole) - self.length + 1, self.segment):
             data = whole[base:base + self.segment + self.length - 1]
             sums = self.sums(data)
-            at = np.arange(len(data) - self.trigger + 1)
-            rolling = self.between(0, sums[0], at, at + self.trigger)
-            rolling ^= rolling >> np.uint64(31)
-            rolling *= np.uint64(0xD6E8FEB86659FD93)
-            rolling ^= rolling >> np.uint64(29)
-            low = rolling >> np.uint64(PLACE) << np.uint64(PLACE) | at.astype(np.uint64)
+            rolling = self.windows(sums, len(data))
+            low = rolling >> np.uint64(PLACE) << np.uint64(PLACE) | np.arange(len(rolling), dtype=np.uint64)
             width, have = self.length - self.trigger + 1, 1
             while have * 2 <= width:
                 low = np.minimum(low[:-have], low[have:])
@@ -207,7 +213,7 @@ def _runs(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _ordered(gathered: DataFrame, parser_of) -> DataFrame:
-    """Repeated strings of phrases that occur once, found among the phrases of their trigger."""
+    """Repeated strings of phrases that occur once, found among those with the same ``trigger``."""
     schema = arrow_schema(SPAN)
 
     def judge(rows: list[tuple], parser: Parser):
@@ -255,30 +261,74 @@ def _ordered(gathered: DataFrame, parser_of) -> DataFrame:
         yield from flush()
 
     return (
-        gathered.where("not hot").select("k1", "k2", "start", "trigger", "twice", "data")
+        gathered.select("k1", "k2", "start", "trigger", "twice", "data")
         .repartition("trigger").sortWithinPartitions("trigger").mapInArrow(run, SPAN)
     )
 
 
-STRING = "h1 long, h2 long, k1 long, k2 long, start int, twice boolean"
+PIECE = "k1 long, k2 long, start int, n int, low int, high int, lead int, g1 long, g2 long, e1 long, e2 long, twice boolean, data binary"
+
 
+def _halved(pieces: DataFrame, parser_of) -> DataFrame:
+    """Two pieces for each: its strings that reach far to the left of the trigger, and the others.
 
-def _counted(gathered: DataFrame, parser_of) -> DataFrame:
-    """The same for triggers with too many phrases for a task: every string counted by itself."""
-    schema = arrow_schema(STRING)
+    A piece holds the strings with ``low`` to ``high`` - 1 bytes before the trigger. All of them share
+    a core: ``low`` bytes before the trigger and what the one that starts first has behind it. So
+    pieces can only share strings if their cores (``g1, g2``) are equal; ``e1, e2`` stand for the
+    whole piece, ``lead`` for the place of the trigger in it.
+    """
+    schema = arrow_schema(PIECE)
 
     def run(batches):
         parser = parser_of()
+        length, reach = parser.length, parser.length - parser.trigger
         for batch in batches:
-            for k1, k2, start, twice, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                h1, h2 = parser.strings(np.frombuffer(data, np.uint8))
-                n = len(h1)
-                yield pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(np.full(n, k1)), pa.array(np.full(n, k2)), pa.array(np.arange(start, start + n, dtype=np.int32)), pa.array(np.full(n, bool(twice)))], schema=schema)
+            for at in range(0, batch.num_rows, SLICE):
+                out = []
+                for k1, k2, start, n, trigger, low, high, lead, twice, data in zip(*(batch.slice(at, SLICE).column(i).to_pylist() for i in range(10))):
+                    symbols = np.frombuffer(data, np.uint8)
+                    sums = parser.sums(symbols)
+                    if lead is None:  # a whole phrase; its trigger is the first window of that hash
+                        lead, low, high = int(np.flatnonzero(parser.windows(sums, len(symbols)).view(np.int64) == trigger)[0]), 0, reach + 1
+                    middle = (low + high) // 2
+                    for a, b in ((low, middle), (middle, high)):
+                        first, last = max(0, lead - b + 1), min(n - 1, lead - a)
+                        if a < b and first <= last:
+                            core = np.array([lead - a]), np.array([lead - b + 1 + length])
+                            ends = np.array([first]), np.array([last + length])
+                            marks = [int(parser.between(i, sums[i], *part).view(np.int64)[0]) for part in (core, ends) for i in (0, 1)]
+                            out.append((k1, k2, start + first, last - first + 1, a, b, lead - first, *marks, twice, data[first:last + length]))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    return pieces.select("k1", "k2", "start", "n", "trigger", "low", "high", "lead", "twice", "data").mapInArrow(run, PIECE)
+
 
-    strings = gathered.where("hot").select("k1", "k2", "start", "twice", "data").mapInArrow(run, STRING)
-    counts = strings.groupBy("h1", "h2").agg(F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("c"))
-    repeated = materialize(counts.where("c > 1"), "hot-strings")
-    return share_join(strings.where("not twice"), repeated, ["h1", "h2"]).selectExpr("k1", "k2", "start", f"start + {parser_of.length} as stop")
+def _halving(gathered: DataFrame, parser_of, group: int) -> DataFrame:
+    """The same for triggers with too many phrases for a task: halves, until few have the same core.
+
+    Equal pieces are one piece that repeats whole. Different ones with the same core are compared in
+    a task, or halved again where they are too many. A piece of one string is its own core, so there
+    are no more rounds than halvings of ``length`` - ``trigger`` + 1.
+    """
+    core, whole = ["low", "high", "g1", "g2"], ["low", "high", "g1", "g2", "lead", "n", "e1", "e2"]
+    spans = []
+    crowd = gathered.where("hot").select("k1", "k2", "start", "n", "trigger", "twice", "data").withColumns(
+        {c: F.lit(None).cast("int") for c in ("low", "high", "lead")})
+    while True:
+        pieces = materialize(_halved(crowd, parser_of), "pieces")
+        if pieces.isEmpty():
+            return reduce(DataFrame.unionByName, spans) if spans else None
+        kinds = materialize(pieces.groupBy(*whole).agg(
+            F.count("*").alias("c"), F.max("twice").alias("twice"), F.min(F.struct("k1", "k2", "start", "data")).alias("one")), "piece-kinds")
+        again = kinds.where("c > 1 or twice").select(*whole, "c")
+        spans.append(share_join(pieces.where("not twice"), again, whole).selectExpr("k1", "k2", "start", f"start + n + {parser_of.length - 1} as stop"))
+        sizes = materialize(kinds.groupBy(*core).agg(F.count("*").alias("c")).where("c > 1"), "piece-groups")
+        others = materialize(share_join(kinds.withColumnRenamed("c", "copies"), sizes.withColumn("crowded", F.col("c") > group), core).select(
+            "one.*", "n", "low", "high", "lead", "g1", "g2", F.expr("twice or copies > 1").alias("twice"), "crowded"), "piece-variants")
+        few = others.where("not crowded").select("k1", "k2", "start", F.xxhash64(*core).alias("trigger"), "twice", "data")
+        spans.append(_ordered(few, parser_of))
+        crowd = others.where("crowded").withColumn("trigger", F.lit(None).cast("long"))
 
 
 class _ParserOf:
@@ -316,8 +366,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER
     wanted = materialize(wanted.select("k1", "k2", "start", "n", "trigger", "twice", "hot"), "wanted")
     texts = _texts_of(keyed, wanted, "k1 long, k2 long, data binary")
     gathered = materialize(_cut_out(texts, wanted, length), "phrases")
-    spans = whole.unionByName(_ordered(gathered, parser_of))
-    return spans.unionByName(_counted(gathered, parser_of)) if n_crowded else spans
+    spans = whole.unionByName(_ordered(gathered.where("not hot"), parser_of))
+    halves = _halving(gathered, parser_of, group) if n_crowded else None
+    return spans if halves is None else spans.unionByName(halves)
 
 
 def _mark_crowded(wanted: DataFrame, crowded: DataFrame, n: int) -> DataFrame:
@@ -342,7 +393,8 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows with what they lose; rows that lose nothing travel without their text."""
-    spans = materialize(spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
+    # equal rows share their keys and their spans: a set, or each would carry those of all
+    spans = materialize(spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
     rows = _texts_of(_keyed(docs, id_col, text_col), spans, "k1 long, k2 long, data binary, doc_id long, n_bytes long, whole_sha256 string", "digest")
     return rows.join(spans, ["k1", "k2"], "left")
 

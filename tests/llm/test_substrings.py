@@ -73,6 +73,32 @@ def test_near_copies_and_a_hot_passage(spark):
     check(spark, rows, 200, group=10)
 
 
+def test_crowded_trigger_is_halved_not_written_out(spark):
+    """One passage in 300 documents, each cut elsewhere and with its own surroundings."""
+    draw = random.Random(21)
+    passage = invented(draw, 90)
+    rows = [(i, invented(draw, 30) + passage[draw.randint(0, 40):draw.randint(60, 90)] + invented(draw, 30)) for i in range(300)]
+    rows += [(400 + i, rows[i][1][:70] + invented(draw, 10)) for i in range(40)]
+    for group in (1, 5, 60):
+        check(spark, rows, 24, trigger=8, group=group)
+    parser_of = substrings._ParserOf(24, 8, substrings.SEGMENT)
+    data = [bytes(draw.randrange(256) for _ in range(16)) + passage.encode()[:8] + bytes(draw.randrange(256) for _ in range(16)) for _ in range(500)]
+    keyed = [(i, i, 0, n, t, False, True, bytearray(d)) for i, d in enumerate(data)
+             for s, n, t in zip(*(x.tolist() for x in (next(parser_of().phrases(d))[:3]))) if s == 0]
+    gathered = spark.createDataFrame(keyed, substrings.GATHERED)
+    first = substrings._halved(gathered.selectExpr("*", "int(null) low", "int(null) high", "int(null) lead"), parser_of)
+    assert first.count() <= 2 * len(keyed)
+
+
+def test_equal_rows_without_id_share_one_list(spark):
+    text = invented(random.Random(3), 400)
+    docs = spark.createDataFrame([(None, text)] * 50, "doc_id long, text string")
+    spans = substrings.repeated_spans(docs)
+    rows = substrings._with_spans(docs, spans, "doc_id", "text").selectExpr("size(spans) n").collect()
+    assert len(rows) == 50 and max(r.n for r in rows) <= 400
+    assert {(r.n_removed, r.n_spans) for r in substrings.removal_report(docs).collect()} == {(len(text.encode()), 1)}
+
+
 def test_query_on_a_table(spark):
     sf = "/root/testdata/sf0.001"
     texts = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
