@@ -9,7 +9,7 @@ from __future__ import annotations
 from riskweave.functions.hashing import PRIME, coefficients
 from riskweave.operators.graph import METRICS
 from riskweave.operators.lsh import NUM_BANDS, NUM_HASHES
-from riskweave.plans.tables import AMOUNT_SCALE, BANK_STEP, RULES, SERIES, TABLES
+from riskweave.plans.tables import AMOUNT_SCALE, BANK_STEP, LINE, RULES, SERIES, TABLES
 from riskweave import schemas
 
 NODE_COLS = schemas.NODES.names
@@ -30,29 +30,25 @@ def _edges(given, source):
     return f"select {_project(EDGE_COLS, EDGE_TYPES, given)} from {source}"
 
 
-LINE = ["l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice", "l_quantity", "l_discount",
-        "l_returnflag", "l_shipdate"]
-_ASC, _DESC = ", ".join(LINE), ", ".join(f"{c} desc" for c in LINE)
 _KIND = ("case f.l_returnflag when 'A' then 'overnight_lending' when 'R' then 'repo_agreement' "
          "else 'interbank_lending' end")
 
 # -- shared sub-queries -----------------------------------------------------------------
 
-ORDER_ENDS = f"""
-first_line as (select * from (select *, row_number() over (partition by l_orderkey order by {_ASC}) rn from lineitem) where rn = 1),
-last_line as (select * from (select *, row_number() over (partition by l_orderkey order by {_DESC}) rn from lineitem) where rn = 1)"""
+LINE_ORDER = f"""
+placed as (select *, row_number() over (order by l_orderkey, {", ".join(LINE)}) - 1 as seq from lineitem)"""
 
-TRANSACTIONS = ORDER_ENDS + f""",
-tx as (select f.l_orderkey as seq, 'BANK_' || (f.l_suppkey * {BANK_STEP}) as source_id,
+TRANSACTIONS = LINE_ORDER + f""",
+tx as (select f.seq, 'BANK_' || (f.l_suppkey * {BANK_STEP}) as source_id,
   'BANK_' || (g.l_suppkey * {BANK_STEP}) as target_id, {_KIND} as relationship_type,
   f.l_extendedprice * cast({AMOUNT_SCALE} as double) as weight, cast(f.l_shipdate as date) as transaction_date,
   cast(f.l_quantity as bigint) as maturity_days, f.l_discount as interest_rate
-  from first_line f join last_line g on f.l_orderkey = g.l_orderkey where f.l_suppkey <> g.l_suppkey)"""
+  from placed f join placed g on f.l_orderkey = g.l_orderkey and g.seq = f.seq + 1 where f.l_suppkey <> g.l_suppkey)"""
 
 CORRELATIONS = """
-corr as (select f.l_orderkey as seq, cast(f.l_partkey as varchar) as symbol1, cast(g.l_partkey as varchar) as symbol2,
+corr as (select f.seq, cast(f.l_partkey as varchar) as symbol1, cast(g.l_partkey as varchar) as symbol2,
   (f.l_discount - cast(0.05 as double)) * cast(16.0 as double) as correlation
-  from first_line f join last_line g on f.l_orderkey = g.l_orderkey where f.l_partkey <> g.l_partkey)"""
+  from placed f join placed g on f.l_orderkey = g.l_orderkey and g.seq = f.seq + 1 where f.l_partkey <> g.l_partkey)"""
 
 HOLDINGS = """
 held as (select cast(o_custkey as varchar) as filer_cik, cast(o_orderdate as date) as filing_date,
@@ -634,7 +630,7 @@ SQL: dict[str, str] = {
     "pivot_series": "with " + HOURLY + f" select date, {_rounded(SERIES, 9)} from wide",
     "forward_fill": "with " + HOURLY + f" select date, {_rounded(SERIES, 9)} from filled",
     "stress_index": "with " + HOURLY + f""" select date, {_SCORE} as stress_score, case when {_SCORE} >= 4 then 1 else 0 end as high_stress_flag from filled""",
-    "sector_correlation": "with " + ORDER_ENDS + "," + CORRELATIONS + """
+    "sector_correlation": "with " + LINE_ORDER + "," + CORRELATIONS + """
         select sector1, sector2, round(avg(correlation), 9) as correlation, count(distinct a) as num_stocks_sector1, count(distinct b) as num_stocks_sector2
         from (select least(p.p_type, q.p_type) as sector1, greatest(p.p_type, q.p_type) as sector2, correlation,
           case when p.p_type < q.p_type then symbol1 else symbol2 end as a, case when p.p_type < q.p_type then symbol2 else symbol1 end as b

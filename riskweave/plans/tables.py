@@ -1,8 +1,8 @@
 """The risk network's input datasets as projections of the order tables.
 
-Suppliers are banks, parts are stocks, customers are investors. An order links the bank and
-the stock of its first line to those of its last line, and every line is a holding. Every
-table is used whole.
+Suppliers are banks, parts are stocks, customers are investors. A line links its bank and its
+stock to those of the next line of its order, and every line is a holding. Every table is used
+whole.
 """
 
 from __future__ import annotations
@@ -10,13 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.operators import integrate
+from riskweave.operators import integrate, sequence
 from riskweave.session import materialize
 
 # Keys of banks are spread so that only some equal a stock's ticker.
 BANK_STEP = 50
 # Line prices become loan amounts around the high-risk limit.
 AMOUNT_SCALE = 20000.0
+# Order of the lines of an order.
+LINE = ["l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice", "l_quantity", "l_discount",
+        "l_returnflag", "l_shipdate"]
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -77,24 +80,21 @@ def filers(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("filer_cik"))
 
 
-def order_ends(spark: SparkSession, sf: str) -> DataFrame:
-    """First and last line of every order, by line number and then by values.
+def line_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line ``f`` of an order with the next one ``g``, by line number and then by values.
 
-    A grouped minimum and maximum, so an order with very many lines is reduced in the tasks
-    that read it.
+    ``seq`` is the place of the first of them among the lines of all orders.
     """
-    line = F.struct("l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice", "l_quantity",
-                    "l_discount", "l_returnflag", "l_shipdate")
-    return read(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.min(line).alias("f"), F.max(line).alias("g"))
+    return sequence.following(read(spark, sf, "lineitem").select("l_orderkey", *LINE), ["l_orderkey"], LINE)
 
 
-def lending(spark: SparkSession, sf: str) -> DataFrame:
-    """Loans between the banks of an order's ends, in order-key sequence."""
+def lending(spark: SparkSession, sf: str, pairs: DataFrame | None = None) -> DataFrame:
+    """Loans between the banks of consecutive lines, in the sequence of the lines."""
+    pairs = line_pairs(spark, sf) if pairs is None else pairs
     kind = (F.when(F.col("f.l_returnflag") == "A", "overnight_lending")
             .when(F.col("f.l_returnflag") == "R", "repo_agreement"))
-    return order_ends(spark, sf).where("f.l_suppkey <> g.l_suppkey").select(
-        F.col("l_orderkey").alias("seq"),
+    return pairs.where("f.l_suppkey <> g.l_suppkey").select(
+        "seq",
         (F.col("f.l_suppkey") * BANK_STEP).cast("string").alias("from_institution"),
         (F.col("g.l_suppkey") * BANK_STEP).cast("string").alias("to_institution"),
         kind.alias("relationship_type"),
@@ -103,10 +103,11 @@ def lending(spark: SparkSession, sf: str) -> DataFrame:
         F.col("f.l_quantity").alias("maturity_days"), F.col("f.l_discount").alias("interest_rate"))
 
 
-def correlations(spark: SparkSession, sf: str) -> DataFrame:
-    """Signed co-movement between the stocks of an order's ends."""
-    return order_ends(spark, sf).where("f.l_partkey <> g.l_partkey").select(
-        F.col("l_orderkey").alias("seq"),
+def correlations(spark: SparkSession, sf: str, pairs: DataFrame | None = None) -> DataFrame:
+    """Signed co-movement between the stocks of consecutive lines."""
+    pairs = line_pairs(spark, sf) if pairs is None else pairs
+    return pairs.where("f.l_partkey <> g.l_partkey").select(
+        "seq",
         F.col("f.l_partkey").cast("string").alias("symbol1"),
         F.col("g.l_partkey").cast("string").alias("symbol2"),
         ((F.col("f.l_discount") - F.lit(0.05)) * F.lit(16.0)).alias("correlation"))
@@ -137,8 +138,9 @@ def mapping(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = line_pairs(spark, sf)
     return integrate.unified_edges(
-        lending(spark, sf), correlations(spark, sf), ownership(spark, sf), mapping(spark, sf))
+        lending(spark, sf, pairs), correlations(spark, sf, pairs), ownership(spark, sf), mapping(spark, sf))
 
 
 def graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
