@@ -40,3 +40,22 @@ def test_empty_table_and_clashing_name(spark):
     assert pairs(empty, 4) == []
     with pytest.raises(ValueError):
         sequence.numbered(spark.range(3).withColumnRenamed("id", "seq"), ["seq"])
+
+
+def test_pairing_moves_rows_once(spark):
+    df = spark.createDataFrame([(1, i, i % 3) for i in range(50)], "k int, n int, v int").repartition(3)
+    found = sequence.following(df, ["k"], ["n", "v"], ahead=["v"])
+    # the pairs are ready when they are read: nothing but the short list of ranges is moved
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_stretch" not in plan and "Generate" not in plan
+    assert found.schema["g"].dataType.names == ["v"]
+    assert sorted((r.seq, r.f.n, r.g.v) for r in found.collect()) == [(i, i, (i + 1) % 3) for i in range(49)]
+
+
+def test_pairs_across_ranges_and_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        rows = [(i // 40, i, i * 7 % 5) for i in range(200)]
+        assert pairs(spark.createDataFrame(rows, "k int, n int, v int").repartition(4), 2) == plain(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
