@@ -147,3 +147,25 @@ def test_stream_summary_and_report(spark):
     quiet = K.edge_stream_report(edges.withColumn("weight", F.lit(0.0)), "seq").first()
     assert quiet["summary"]["high_risk_edges"] == 0
     assert (quiet["dgim"]["num_buckets"], quiet["dgim"]["estimated_count"], quiet["dgim"]["current_time"]) == (0, 0, 3)
+
+
+def test_lookup_in_a_sent_filter_equals_the_join(spark, monkeypatch):
+    held = spark.range(300).selectExpr("cast(id as string) as key")
+    asked = spark.range(200, 900).selectExpr("case when id = 250 then null else cast(id as string) end as key")
+    bits = K.bloom_build(held, "key", 4_001, 5)
+    sent = K.bloom_contains(asked, "key", bits, 4_001, 5)
+    # no key is written out once for each of its bits
+    assert "Generate" not in sent._jdf.queryExecution().optimizedPlan().toString().split("+- ")[0]
+    none = K.bloom_contains(asked, "key", bits.limit(0), 4_001, 5)
+    assert none.where("maybe_present").count() == 0 and none.count() == 699
+    found = sorted(map(tuple, sent.collect()))
+    monkeypatch.setattr(K, "SENT_BITS", 0)
+    assert found == sorted(map(tuple, K.bloom_contains(asked, "key", bits, 4_001, 5).collect()))
+
+
+def test_part_filter_meets_by_part_before_the_bitmaps(spark):
+    keys = spark.range(500).selectExpr("cast(id % 100 as string) as key")
+    filled = K.part_filter(keys, "key", 3, 7)
+    assert "RepartitionByExpression" in filled._jdf.queryExecution().optimizedPlan().toString()
+    old = K.part_words(keys.select(K.part_of_key(K.F.col("key"), 3), K.part_positions(K.F.col("key"), 3, 7).alias("bits")), ["part"])
+    assert sorted(map(tuple, filled.collect())) == sorted(map(tuple, old.collect()))
