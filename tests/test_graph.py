@@ -188,3 +188,19 @@ def test_clustering_with_neighbour_lists_in_pieces(spark):
     for piece in (1, 3, 10_000):
         got = {r["node_id"]: r["clustering_coefficient"] for r in graph.clustering(nodes, edges, piece=piece).collect()}
         assert got == pytest.approx(want)
+
+
+def test_clustering_takes_only_later_neighbours_along(spark):
+    """Pieces of two neighbours give the values of whole lists, and lists are cut before they move."""
+    pairs = [(f"n{i}", f"n{j}") for i in range(9) for j in range(9) if i != j and (i * 5 + j * 3) % 4]
+    edges = spark.createDataFrame(pairs, "source_id string, target_id string")
+    nodes = spark.createDataFrame([(f"n{i}",) for i in range(10)], "node_id string")
+    cut, whole = graph.clustering(nodes, edges, piece=2), graph.clustering(nodes, edges)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.collect()))
+    assert "slice(" in whole._jdf.queryExecution().optimizedPlan().toString()
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want = {n: sum(a in near[n] and b in near[n] for a, b in pairs) / (len(s) * (len(s) - 1)) for n, s in near.items()}
+    assert {r.node_id: r.clustering_coefficient for r in cut.collect()} == pytest.approx(want | {"n9": 0.0})
