@@ -159,3 +159,21 @@ def test_graph_files_arrive_as_a_stream(spark, tmp_path):
     finish(readers.graph_stream(spark, str(folder), schemas.NODES), f"{tmp_path}/out", f"{tmp_path}/ck")
     row = spark.read.parquet(f"{tmp_path}/out").first()
     assert (row["node_id"], row["name"], row["total_assets"]) == ("BANK_1", "A, B", None)
+
+
+def test_edge_upsert_keeps_no_batch_in_memory(spark, tmp_path, monkeypatch):
+    """The ends come from the delta just written, missing ones included."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def kept(self, *args):
+        raise AssertionError("a batch of any size does not fit the memory")
+
+    monkeypatch.setattr(DataFrame, "persist", kept)
+    rows = [("a", "b", "x", 1, 5.0), ("b", None, "x", 2, 1.0), (None, "c", None, 3, 2.0), ("a", "b", "x", 4, None)]
+    df = spark.createDataFrame(rows, "source_id string, target_id string, relationship_type string, seq bigint, weight double")
+    stream = readers.replay_stream(spark, df, f"{tmp_path}/replay", 2, "seq")
+    upsert.run_edge_upsert(stream, f"{tmp_path}/e", f"{tmp_path}/n", f"{tmp_path}/ck", "seq").awaitTermination()
+    ends = upsert.read_state(spark, f"{tmp_path}/n", upsert.NODE_KEY)
+    assert {r.node_id for r in ends.collect()} == {"a", "b", "c", None} and ends.count() == 4
+    found = upsert.state_values(upsert.read_state(spark, f"{tmp_path}/e", upsert.EDGE_KEY), upsert.EDGE_KEY)
+    assert found.where("source_id = 'a'").first().weight == 5.0
