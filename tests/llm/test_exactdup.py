@@ -80,3 +80,17 @@ def test_no_python_meets_a_row(spark):
 def test_whole_table(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     assert found(QUERIES["op12_exact_dedup"](spark, SF)) == plain(docs)
+
+
+def test_a_store_reserves_no_disk(spark, tmp_path, monkeypatch):
+    """Each of many small stores would take 4 MB of disk for a log of a few rows."""
+    seen, settings = [], exactdup._settings
+
+    def spied(session, wanted):
+        seen.append(wanted.get("spark.sql.streaming.stateStore.rocksdb.allowFAllocate"))
+        return settings(session, wanted)
+
+    monkeypatch.setattr(exactdup, "_settings", spied)
+    texts = {text or "" for _, text in ODD}
+    assert exactdup.follow(spark, write(spark, ODD), f"{tmp_path}/state").count() == len(texts)
+    assert seen == ["false"]
