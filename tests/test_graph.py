@@ -88,6 +88,30 @@ def test_bfs_tree_matches_brute_force(spark, rows_per_split):
     assert shallow.agg({"depth": "max"}).first()[0] == 1
 
 
+@pytest.mark.parametrize("sent_nodes", [1_000_000, 0])
+def test_a_node_meets_its_links_once_for_all_sources(spark, monkeypatch, sent_nodes):
+    met = []
+    expand = graph.frontier_expand
+
+    def counted(frontier, *rest):
+        met.append(frontier.count())
+        return expand(frontier, *rest)
+
+    monkeypatch.setattr(graph, "frontier_expand", counted)
+    pairs = [(f"s{i:02d}", "hub") for i in range(70)] + [("hub", f"t{i}") for i in range(5)] + [("t4", "z"), ("t1", "z")]
+    edges = spark.createDataFrame(pairs, "source_id string, target_id string")
+    nodes = edges.selectExpr("source_id as node_id").distinct()
+    g = graph.index_graph(nodes, edges)
+    tree, numbered = graph._bfs(g, nodes.where("node_id like 's%'"), rows_per_split=3, sent_nodes=sent_nodes)
+    assert met[0] == 70 and len(met) == 4
+    # a heavy node that is not sent is repeated per part
+    assert met[1:] == ([1, 5, 1] if sent_nodes else [2, 5, 1])
+    rows = g.named(tree, id="node_id", parent="parent_id").groupBy("node_id", "parent_id", "depth").count().collect()
+    got = {(r["node_id"], r["parent_id"], r["depth"]): r["count"] for r in rows if r["depth"] and r["node_id"] != "hub"}
+    assert got == {**{(f"t{i}", "hub", 2): 70 for i in range(5)}, ("z", "t1", 3): 70}
+    assert sum(r["count"] for r in rows if r["node_id"] == "hub" and r["depth"] == 1) == 70
+
+
 def test_betweenness_counts_interior_nodes_of_tree_paths(spark):
     nodes, edges, rows = make(spark)
     names = universe(rows, nodes)
