@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskweave.operators import graph
@@ -145,6 +146,16 @@ def test_clustering_matches_brute_force(spark):
     assert got(graph.clustering(nodes, edges), "clustering_coefficient") == want
 
 
+def test_corners_of_a_batch_are_added_up():
+    """Links 1-2 and 1-3 share 4 and 5, the second also 9; 4 is linked with 2 both ways, 5 with 1."""
+    rows = [dict(v=1, x=2, m_vx=2, ids_v=[4, 5], both_v=[5], ids=[4, 5, 7], both=[4]), dict(v=1, x=3, m_vx=1, ids_v=[4, 5, 9], both_v=[5], ids=[4, 5, 9], both=[]),
+            dict(v=6, x=8, m_vx=1, ids_v=[9], both_v=[], ids=[], both=[])]
+    schema = pa.schema([("v", pa.int32()), ("x", pa.int32()), ("m_vx", pa.int64()), *[(c, pa.list_(pa.int32())) for c in ("ids_v", "both_v", "ids", "both")]])
+    out = list(graph._corners(iter([pa.RecordBatch.from_pylist(rows, schema), pa.RecordBatch.from_pylist(rows[2:], schema), pa.RecordBatch.from_pylist([], schema)])))
+    assert {r["rank"]: r["opposite"] for r in out[0].to_pylist()} == {1: 3 + 3, 2: 3, 3: 4, 4: 3, 5: 3, 9: 1}
+    assert [b.num_rows for b in out] == [6, 0, 0]
+
+
 def test_degree_and_exposure_modes(spark):
     nodes, edges, rows = make(spark)
     deg = {r["node_id"]: r for r in graph.degree(nodes, edges).collect()}
