@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,15 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
+def _column(values: list, kind: pa.DataType) -> pa.Array:
+    """Values as a column; lists of numbers that all come as typed arrays are joined and cast at once."""
+    if not (pa.types.is_list(kind) and values and all(isinstance(v, array) for v in values) and len({v.typecode for v in values}) == 1):
+        return pa.array(values, kind)
+    ends = pa.array(np.cumsum([0, *map(len, values)]), pa.int32())
+    flat = np.frombuffer(b"".join([v.tobytes() for v in values]), np.dtype(values[0].typecode))
+    return pa.ListArray.from_arrays(ends, pa.array(flat).cast(kind.value_type), type=kind)
+
+
 def map_texts(docs: DataFrame, start: Callable[[], Callable], ddl: str) -> DataFrame:
     """One output row per document.
 
@@ -42,7 +53,7 @@ def map_texts(docs: DataFrame, start: Callable[[], Callable], ddl: str) -> DataF
                 part = batch.slice(at, SLICE)
                 rows = [work(text or "") for text in part.column(1).to_pylist()]
                 columns = [part.column(0).cast(pa.int64())]
-                columns += [pa.array(list(v), field.type) for v, field in zip(zip(*rows), list(schema)[1:], strict=True)]
+                columns += [_column(list(v), field.type) for v, field in zip(zip(*rows), list(schema)[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return docs.mapInArrow(run, ddl)

@@ -20,6 +20,7 @@ may fall differently on long texts.
 
 from __future__ import annotations
 
+import gc
 import re
 from array import array
 
@@ -31,6 +32,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # piece types o
 SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 REMEMBERED = 300_000
 LONG_SEGMENT = 64
+#: Objects that a Python worker makes before they are searched for cycles; remembered segments hold none.
+COLLECT_EVERY = 200_000
 
 
 class Pieces:
@@ -156,26 +159,25 @@ class Pieces:
 
     def _solve_word(self, segment: str) -> tuple[tuple[int, ...], float]:
         """``solve`` for a short segment of known characters under merge order: one open window."""
-        last: list = [None] * (len(segment) + 1)
-        last[0] = (None, -2)
-        pairs, follows = self._pairs, self._follows
+        # the piece that ends at each place; -1 none, -2 the start
+        last = [-1] * (len(segment) + 1)
+        last[0] = -2
+        pairs, follows = self._pairs.get, self._follows
         for end, (length, i, _) in self._matches.iter(segment):
             end += 1
-            if last[end] is None:
-                before = last[end - length]
-                if before is not None:
-                    one = before[1]
-                    if one == -2:
-                        last[end] = (before, i)
-                    else:
-                        fits = pairs.get(one << 20 | i)
-                        if fits or fits is None and follows(one, i):
-                            last[end] = (before, i)
-        ids, entry = [], last[-1]
-        while entry[0] is not None:
-            ids.append(entry[1])
-            entry = entry[0]
-        score = self.score
+            if last[end] == -1:
+                one = last[end - length]
+                if one >= 0:
+                    fits = pairs(one << 20 | i)
+                    if fits or fits is None and follows(one, i):
+                        last[end] = i
+                elif one == -2:
+                    last[end] = i
+        ids, end, text, score = [], len(segment), self.text, self.score
+        while end:
+            i = last[end]
+            ids.append(i)
+            end -= len(text[i])
         return tuple(reversed(ids)), sum([score[i] for i in ids])
 
     def solve(self, segment: str) -> tuple[tuple[int, ...], float]:
@@ -252,8 +254,11 @@ class Pieces:
                 out.append(self.unknown)
         return tuple(out)
 
-    def _segment(self, segment: str) -> tuple[array, int, float]:
-        """Solution of a segment; short ones are remembered, the least used are forgotten."""
+    def _segment(self, segment: str) -> tuple[bytes, int, float]:
+        """Solution of a segment; short ones are remembered, the least used are forgotten.
+
+        Ids are kept as bytes, which the garbage collector need not walk.
+        """
         known = self._older.get(segment)
         if known is None:
             inside, start, parts = self._inside, 0, []
@@ -263,26 +268,25 @@ class Pieces:
                     start = at
             if start and (self.fallback or self._alphabet.issuperset(segment)):
                 parts.append(segment[start:])
-                ids, score = array(self._code), 0.0
-                for part in parts:
-                    one = self._known.get(part) or self._segment(part)
-                    ids.extend(one[0])
+                each = [self._known.get(part) or self._segment(part) for part in parts]
+                score = 0.0
+                for one in each:
                     score += one[2]
+                known = (b"".join([one[0] for one in each]), sum([one[1] for one in each]), score)
             else:
                 found, score = self.solve(segment)
                 ids = array(self._code, self._spell(segment, found))
-            known = (ids, len(ids), score)
+                known = (ids.tobytes(), len(ids), score)
         if len(segment) <= LONG_SEGMENT:
             if len(self._known) >= REMEMBERED:
                 self._older, self._known = self._known, {}
             self._known[segment] = known
         return known
 
-    def _segments(self, text: str):
+    def _segments(self, text: str) -> list[tuple[bytes, int, float]]:
         text = text.replace(" ", SPACE)
-        known, solve = self._known, self._segment
-        for segment in SEGMENT.findall(SPACE + text if self.prefix else text):
-            yield known.get(segment) or solve(segment)
+        known, solve = self._known.get, self._segment
+        return [known(segment) or solve(segment) for segment in SEGMENT.findall(SPACE + text if self.prefix else text)]
 
     # ---- what callers use --------------------------------------------------------------------
 
@@ -290,8 +294,7 @@ class Pieces:
         """Ids of a whole text; empty for an empty one."""
         out = array(self._code)
         if text:
-            for found in self._segments(text):
-                out.extend(found[0])
+            out.frombytes(b"".join([found[0] for found in self._segments(text)]))
         return out
 
     def count(self, text: str) -> tuple[int, float]:
@@ -314,7 +317,9 @@ _loaded: dict[tuple[bytes, str | None], Pieces] = {}
 
 
 def loaded(model: bytes, rule: str | None = None) -> Pieces:
-    """The vocabulary, built once per Python worker."""
+    """The vocabulary, built once per Python worker. It stays for good, so the garbage collector leaves it out."""
     if (model, rule) not in _loaded:
         _loaded[model, rule] = Pieces(model, rule)
+        gc.freeze()
+        gc.set_threshold(COLLECT_EVERY)
     return _loaded[model, rule]
