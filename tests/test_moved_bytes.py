@@ -1,12 +1,16 @@
-"""What the edges move and write: whole-number keys, lines with a next one."""
+"""What the edges move and write: whole-number keys, lines with a next one, packed import files."""
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import types as types
 
+from riskweave import schemas
 from riskweave.operators import integrate, sequence
-from riskweave.plans import tables as T
+from riskweave.plans import catalog, tables as T
+from riskweave.sources import readers, writers
 from test_edge_columns import folder  # noqa: F401
 
 
@@ -78,3 +82,20 @@ def test_order_columns_behind_the_used_ones_do_not_move(spark, written):
     assert text(part.selectExpr("k", "seq", "f.w as v", "g.n")) == text(whole.select("k", "seq", "f.v", "g.n"))
     moved = [next(line for line in plan.splitlines() if "RepartitionByExpression" in line) for plan, _ in written]
     assert ["tail#" in line or "t#" in line for line in moved] == [True, False, True]
+
+
+def test_round_trip_writes_packed_files(spark, folder, tmp_path, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    back = catalog.graph_round_trip(spark, folder)
+    files = [n for n in os.listdir(f"{tmp_path}/import") if n.startswith("part-")]
+    assert files and all(n.endswith(".csv.gz") for n in files)
+    assert text(back) == text(T.edges(spark, folder)) and back.schema == schemas.EDGES
+
+
+def test_packed_files_end_after_some_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "ROWS_PER_PACKED_FILE", 10)
+    df = spark.range(95, numPartitions=1).selectExpr("cast(id as string) as source_id", "'b,\"c' as target_id", "'t' as relationship_type")
+    writers.write_graph(integrate.to_import_edges(df), f"{tmp_path}/e", compression="gzip")
+    assert sum(n.startswith("part-") for n in os.listdir(f"{tmp_path}/e")) == 10
+    back = readers.read_graph_csv(spark, f"{tmp_path}/e", schemas.EDGES).select(*df.columns)
+    assert text(back) == text(df)
