@@ -72,6 +72,45 @@ def test_subgraph(network):
     assert cascade.cascade_subgraph(*network, bank="B").count() == 0
 
 
+MORE_NODES = [
+    ("BANK_C", "bank", "C", "C Corp", None, None, None, 1.0), ("STOCK_C", "stock", None, "C", "C", "Fin", 1.0, None),
+    ("INST_3", "institutional_investor", None, "I3", None, None, None, None), ("BANK_N", "bank", None, "N Corp", None, None, None, 1.0)]
+MORE_EDGES = [
+    ("BANK_C", "STOCK_C", "PUBLICLY_TRADED_AS", 1.0), ("BANK_N", "STOCK_A", "PUBLICLY_TRADED_AS", 1.0), ("INST_3", "STOCK_C", "equity_ownership", 2.0),
+    ("INST_3", "STOCK_X", "equity_ownership", 6.0), ("STOCK_X", "STOCK_C", "market_correlation", 0.5), ("STOCK_X", "STOCK_Y", "market_correlation", 0.5),
+    ("INST_3", "BANK_A", "equity_ownership", 1.0), ("BANK_A", "STOCK_X", "equity_ownership", 1.0), ("INST_1", None, "equity_ownership", 1.0)]
+
+
+@pytest.mark.parametrize("sizes", [{}, dict(rows_per_split=1, pairs_per_cell=1, banks_per_row=1)])
+def test_subgraphs_of_all_banks(spark, network, sizes):
+    nodes, edges = network
+    nodes = nodes.union(spark.createDataFrame(MORE_NODES, nodes.schema))
+    edges = edges.union(spark.createDataFrame(MORE_EDGES, edges.schema))
+    rows = [*EDGES, *MORE_EDGES]
+    kinds = {n[0]: n[1] for n in [*NODES, *MORE_NODES]}
+    want = []
+    for b in "ABC":
+        first = {t for s, t, k, _ in rows if s == f"BANK_{b}" and k == cascade.LISTED and kinds.get(t) == "stock"}
+        holders = {s for s, t, k, _ in rows if t in first and k == cascade.OWNED and kinds.get(s) == "institutional_investor"}
+        second = {t for s, t, k, _ in rows if s in holders and k == cascade.OWNED and kinds.get(t) == "stock"}
+        inside = {f"BANK_{b}"} | first | holders | second if holders else set()
+        want += [(b, *r) for r in rows if r[0] in inside and r[1] in inside]
+    got = cascade.cascade_subgraph(nodes, edges, **sizes)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert {r[0] for r in want} == {"A", "C"}
+    one = cascade.cascade_subgraph(nodes, edges, bank="C", **sizes)
+    assert sorted(map(tuple, one.collect())) == sorted(r for r in want if r[0] == "C")
+
+
+def test_the_query_gives_the_subgraph_of_every_bank(spark):
+    from riskweave.plans import catalog
+    sf = "/root/testdata/sf0.001"
+    impact = cascade.cascade_impact(*catalog._cascade_graph(spark, sf, "weight")).where("hop = 2")
+    banks = {r["bank"] for r in impact.select("bank").distinct().collect()}
+    got = {r["bank"] for r in catalog.cascade_subgraph(spark, sf).select("bank").distinct().collect()}
+    assert len(banks) > 1 and got == banks
+
+
 PEOPLE = [("a", "n1", "x", "s", 1.0, 1), ("b", "n2", "x", "s", 2.0, 1), ("c", "n3", "x", "s", 3.0, 1),
           ("d", "n4", "y", "s", 4.0, 1), ("e", "n5", None, "s", 5.0, 1), ("f", "n6", None, "s", 6.0, 1), ("g", "n7", None, "s", 7.0, 1)]
 
