@@ -160,3 +160,44 @@ def test_split_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "node_id string, cascade_risk int, x double")
     got = learn.stratified_split(empty, "cascade_risk")
     assert got.columns == ["node_id", "cascade_risk", "x", "split"] and got.count() == 0
+
+
+def sizes(df):
+    return sorted(df.groupBy(F.spark_partition_id().alias("p")).count().toPandas()["count"])
+
+
+@pytest.fixture(scope="module")
+def uneven(spark, tmp_path_factory):
+    """A table of one large file and many small ones."""
+    folder = str(tmp_path_factory.mktemp("uneven") / "rows")
+    rows = spark.range(4_000).selectExpr("cast(id % 2 as int) cascade_occurred", "cast(id as double) a", "cast(id % 37 as double) b")
+    ready = learn.standard_scale(rows, ["a", "b"]).transform(rows).select(learn.LABEL, "features")
+    ready.limit(3_200).coalesce(1).write.parquet(folder)
+    ready.limit(800).repartition(4).write.mode("append").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def test_rows_of_a_forest_are_dealt_evenly(spark, uneven):
+    parts = spark.sparkContext.defaultParallelism
+    out = learn.dealt(uneven, 100)
+    assert sorted(map(str, out.collect())) == sorted(map(str, uneven.collect()))
+    assert sizes(out) == [4_000 // parts] * parts
+    assert learn.dealt(uneven, 2_500) is uneven
+    again = learn.dealt(uneven, 100)
+    assert [str(r) for r in out.withColumn("p", F.spark_partition_id()).collect()] == [str(r) for r in again.withColumn("p", F.spark_partition_id()).collect()]
+
+
+def test_the_forest_gets_even_parts_and_no_task_for_a_class(spark, uneven, monkeypatch):
+    seen, deal = [], learn.dealt
+    monkeypatch.setattr(learn, "dealt", lambda table: deal(table, 100))
+    monkeypatch.setattr(learn, "train_forest", lambda df, *_, **__: seen.append(df) or learn.standard_scale(uneven.limit(1).selectExpr("1.0 a"), ["a"]).stages[0])
+    rows = spark.range(4_000).selectExpr("concat('n', id) node_id", "cast(id % 2 as int) cascade_occurred", "cast(id as double) equity")
+    learn.train_model(rows, cols=["equity"])
+    assert max(sizes(seen[0])) <= 1.2 * 4_000 / spark.sparkContext.defaultParallelism
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_scored_rows_are_dealt_evenly(spark, labelled, model):
+    one = labelled.select("node_id", *learn.FEATURES).coalesce(1)
+    assert len(sizes(learn.score(model, one))) == spark.sparkContext.defaultParallelism
