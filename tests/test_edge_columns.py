@@ -5,8 +5,10 @@ import datetime
 import pytest
 
 from riskweave import schemas
-from riskweave.operators import integrate, sequence
-from riskweave.plans import tables as T
+from riskweave.operators import integrate, sequence, sketches
+from riskweave.plans import catalog, tables as T
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_values_behind_the_last_asked_column_do_not_travel(spark):
@@ -69,3 +71,15 @@ def test_edges_of_asked_kinds_move_no_loans(spark, folder):
     assert sorted(map(str, got.collect())) == sorted(map(str, whole.where(whole.relationship_type.isin(*kinds)).collect())) != []
     market = T.edges(spark, folder, *T.LINKS).where("relationship_type in ('PUBLICLY_TRADED_AS', 'equity_ownership')")
     assert "market_correlation" not in market._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_counted_filter_reads_its_rows_once(spark, tmp_path):
+    spark.range(400).selectExpr("if(id % 4 = 0, null, concat('k', id % 90)) key").write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    filled, parts, k = sketches.counted_filter(rows, "key", 0.01)
+    assert not [f for f in filled.inputFiles() if str(tmp_path) in f]
+    n = rows.select("key").where("key is not null").distinct().count()
+    assert (parts, k) == sketches.part_plan(n, 0.01)
+    plain = sketches.part_filter(rows, "key", parts, k)
+    assert sorted(map(str, filled.collect())) == sorted(map(str, plain.collect()))
+    assert sketches.part_contains(rows, "key", filled, parts, k).where("not maybe_present").count() == 0
