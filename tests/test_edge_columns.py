@@ -73,6 +73,10 @@ def test_edges_of_asked_kinds_move_no_loans(spark, folder):
     assert "market_correlation" not in market._jdf.queryExecution().optimizedPlan().toString()
 
 
+class Seen(Exception):
+    """Ends a query once it has asked for its edges."""
+
+
 def test_a_counted_filter_reads_its_rows_once(spark, tmp_path):
     spark.range(400).selectExpr("if(id % 4 = 0, null, concat('k', id % 90)) key").write.parquet(f"{tmp_path}/rows")
     rows = spark.read.parquet(f"{tmp_path}/rows")
@@ -83,3 +87,17 @@ def test_a_counted_filter_reads_its_rows_once(spark, tmp_path):
     plain = sketches.part_filter(rows, "key", parts, k)
     assert sorted(map(str, filled.collect())) == sorted(map(str, plain.collect()))
     assert sketches.part_contains(rows, "key", filled, parts, k).where("not maybe_present").count() == 0
+
+
+def test_followed_import_files_are_packed(spark, monkeypatch):
+    packed = []
+
+    def noted(df, path, compression=None):
+        packed.append(compression)
+        if len(packed) == 2:
+            raise Seen
+
+    monkeypatch.setattr(catalog.writers, "write_graph", noted)
+    with pytest.raises(Seen):
+        catalog.graph_upsert_files(spark, SF)
+    assert packed == ["gzip", "gzip"]
