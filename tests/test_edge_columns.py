@@ -77,6 +77,24 @@ class Seen(Exception):
     """Ends a query once it has asked for its edges."""
 
 
+@pytest.mark.parametrize("name", ["clustering", "pagerank", "bfs_tree", "betweenness_sampled", "similar_entities", "bloom_parts"])
+def test_queries_of_the_links_alone_move_only_their_ends(spark, monkeypatch, name):
+    def asked(spark, sf, *columns, **_):
+        raise Seen(columns)
+
+    monkeypatch.setattr(T, "edges", asked)
+    with pytest.raises(Seen) as seen:
+        catalog.QUERIES[name](spark, SF)
+    assert sorted(seen.value.args[0]) == ["source_id", "target_id"]
+
+
+def test_edges_without_values_lie_in_the_order_of_their_keys(spark):
+    rows = spark.range(500).selectExpr("id * 7 % 50 a", "id % 3 b", "id v")
+    out = integrate.first_wins(rows, ["a", "b"], ["v"], [])
+    parts = out.rdd.glom().collect()
+    assert all(p == sorted(p) for p in parts) and sum(map(len, parts)) == rows.select("a", "b").distinct().count()
+
+
 def test_a_counted_filter_reads_its_rows_once(spark, tmp_path):
     spark.range(400).selectExpr("if(id % 4 = 0, null, concat('k', id % 90)) key").write.parquet(f"{tmp_path}/rows")
     rows = spark.read.parquet(f"{tmp_path}/rows")
